@@ -3,60 +3,106 @@
 Field names and types are fixed values: they are the published input formats.
 """
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    ArrayType,
+    BooleanType,
+    DataType,
+    DoubleType,
+    IntegerType,
+    MapType,
+    StringType,
+    StructType,
+)
+
+STRING, INT, DOUBLE, BOOLEAN = StringType(), IntegerType(), DoubleType(), BooleanType()
+
+
+def _struct(*fields: tuple[str, DataType]) -> StructType:
+    schema = StructType()
+    for names, kind in fields:
+        for name in names.split():
+            schema.add(name, kind)
+    return schema
 
-MATCHES = StructType.fromDDL(
-    """match_id string, season int, match_number int, date string, venue string, city string,
-    team1 string, team2 string, toss_winner string, toss_decision string, first_batting string,
-    second_batting string, innings1_runs int, innings1_wickets int, innings1_overs double,
-    innings2_runs int, innings2_wickets int, innings2_overs double, winner string,
-    result_type string, margin string, player_of_match string, umpire1 string, umpire2 string"""
+
+MATCHES = _struct(
+    ("match_id", STRING),
+    ("season match_number", INT),
+    ("date venue city team1 team2 toss_winner toss_decision first_batting second_batting", STRING),
+    ("innings1_runs innings1_wickets", INT),
+    ("innings1_overs", DOUBLE),
+    ("innings2_runs innings2_wickets", INT),
+    ("innings2_overs", DOUBLE),
+    ("winner result_type margin player_of_match umpire1 umpire2", STRING),
 )
 
-BALL_EVENTS = StructType.fromDDL(
-    """ball_id string, match_id string, season int, innings int, over int, ball int,
-    batting_team string, bowling_team string, batsman string, non_striker string, bowler string,
-    runs_scored int, extras int, extras_type string, is_wicket boolean, dismissal_type string,
-    is_boundary boolean, is_six boolean, is_four boolean, total_runs int, total_wickets int,
-    phase string"""
+BALL_EVENTS = _struct(
+    ("ball_id match_id", STRING),
+    ("season innings over ball", INT),
+    ("batting_team bowling_team batsman non_striker bowler", STRING),
+    ("runs_scored extras", INT),
+    ("extras_type", STRING),
+    ("is_wicket", BOOLEAN),
+    ("dismissal_type", STRING),
+    ("is_boundary is_six is_four", BOOLEAN),
+    ("total_runs total_wickets", INT),
+    ("phase", STRING),
 )
 
-PLAYERS = StructType.fromDDL(
-    """player_id string, player_name string, nationality string, date_of_birth string,
-    batting_style string, bowling_style string, role string, ipl_debut_year int"""
+PLAYERS = _struct(
+    ("player_id player_name nationality date_of_birth batting_style bowling_style role", STRING),
+    ("ipl_debut_year", INT),
 )
 
-TEAMS = StructType.fromDDL(
-    """team_id string, team_name string, home_venue string, home_city string, titles_won int,
-    first_season int"""
+TEAMS = _struct(
+    ("team_id team_name home_venue home_city", STRING),
+    ("titles_won first_season", INT),
 )
 
-VENUES = StructType.fromDDL(
-    "venue_id string, name string, city string, country string, capacity int"
+VENUES = _struct(
+    ("venue_id name city country", STRING),
+    ("capacity", INT),
 )
 
-LIVE_BALL_EVENT = StructType.fromDDL(
-    """event_id string, match_id string, timestamp string, innings int, over int, ball int,
-    batting_team string, bowling_team string, batsman string, bowler string, runs_scored int,
-    is_wicket boolean, dismissal_type string, is_boundary boolean, total_runs int,
-    total_wickets int, run_rate double, is_powerplay boolean, is_death_overs boolean,
-    phase string, venue string, city string, match_state string"""
+LIVE_BALL_EVENT = _struct(
+    ("event_id match_id timestamp", STRING),
+    ("innings over ball", INT),
+    ("batting_team bowling_team batsman bowler", STRING),
+    ("runs_scored", INT),
+    ("is_wicket", BOOLEAN),
+    ("dismissal_type", STRING),
+    ("is_boundary", BOOLEAN),
+    ("total_runs total_wickets", INT),
+    ("run_rate", DOUBLE),
+    ("is_powerplay is_death_overs", BOOLEAN),
+    ("phase venue city match_state", STRING),
 )
 
-SCORE_UPDATE = StructType.fromDDL(
-    """match_id string, timestamp string, innings int, over int, ball int, total_runs int,
-    total_wickets int, run_rate double, batting_team string, bowling_team string"""
+SCORE_UPDATE = _struct(
+    ("match_id timestamp", STRING),
+    ("innings over ball total_runs total_wickets", INT),
+    ("run_rate", DOUBLE),
+    ("batting_team bowling_team", STRING),
 )
 
-MATCH_DOCUMENT = StructType.fromDDL(
-    """info struct<teams:array<string>, gender:string, match_type:string, season:string,
-      dates:array<string>, venue:string, city:string,
-      toss:struct<winner:string,decision:string>, outcome:map<string,string>,
-      player_of_match:array<string>, umpires:array<string>>,
-    innings array<map<string, struct<deliveries:array<map<string, struct<
-      batsman:string, bowler:string, non_striker:string,
-      runs:struct<batsman:int,extras:int,total:int>, extras:map<string,int>,
-      wickets:array<struct<kind:string,player_out:string>>>>>>>>"""
+_TOSS = _struct(("winner decision", STRING))
+_INFO = _struct(
+    ("teams", ArrayType(STRING)),
+    ("gender match_type season", STRING),
+    ("dates", ArrayType(STRING)),
+    ("venue city", STRING),
+    ("toss", _TOSS),
+    ("outcome", MapType(STRING, STRING)),
+    ("player_of_match umpires", ArrayType(STRING)),
+)
+_DELIVERY = _struct(
+    ("batsman bowler non_striker", STRING),
+    ("runs", _struct(("batsman extras total", INT))),
+    ("extras", MapType(STRING, INT)),
+    ("wickets", ArrayType(_struct(("kind player_out", STRING)))),
 )
+_INNINGS = _struct(("deliveries", ArrayType(MapType(STRING, _DELIVERY))))
+
+MATCH_DOCUMENT = _struct(("info", _INFO), ("innings", ArrayType(MapType(STRING, _INNINGS))))
 
 METADATA_COLUMNS = ("_ingestion_timestamp", "_source", "_ingestion_date", "_batch_id")
