@@ -72,7 +72,7 @@ class Query:
 
     def oracle(self) -> str:
         types = {"string": "VARCHAR", "int": "INTEGER", "timestamp_ntz": "TIMESTAMP"}
-        cast = ", ".join(f"CAST({n} AS {types.get(t, t.upper())}) AS {n}" for n, t in self.columns)
+        cast = ", ".join(f'CAST("{n}" AS {types.get(t, t.upper())}) AS "{n}"' for n, t in self.columns)
         return f"WITH {BASE_SQL}, answer AS (\n{self.sql.strip()}\n)\nSELECT {cast} FROM answer"
 
 
