@@ -2,7 +2,7 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from matchlake.functions import metrics as m
@@ -15,13 +15,17 @@ RECENT_COLUMNS = ("date", "team1", "team2", "winner", "margin", "venue")
 
 def match_kpis(matches: DataFrame) -> DataFrame:
     """One row: matches, average total, seasons, and the side with most wins (first by name on a tie)."""
-    wins = matches.where(F.col("winner").isNotNull()).groupBy("winner").agg(F.count("*").alias("n"))
-    top = wins.agg(F.min_by("winner", F.struct(-F.col("n"), "winner")).alias("most_wins"))
-    return matches.agg(
-        F.count("*").alias("total_matches"),
-        m.int_avg(F.col("total_runs"), 0).alias("avg_runs_per_match"),
+    small = matches.groupBy("season", "winner").agg(
+        F.count("*").alias("n"), F.sum("total_runs").alias("runs"), F.count("total_runs").alias("scored")
+    )
+    ranked = small.withColumn("wins", F.sum("n").over(Window.partitionBy("winner")))
+    order = F.when(F.col("winner").isNotNull(), F.struct(-F.col("wins"), "winner"))
+    return ranked.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("total_matches"),
+        m.ratio(F.sum("runs"), F.sum("scored"), 0).alias("avg_runs_per_match"),
         F.countDistinct("season").alias("seasons"),
-    ).withColumn("most_wins", top.scalar())
+        F.min_by("winner", order).alias("most_wins"),
+    )
 
 
 def player_kpis(balls: DataFrame) -> DataFrame:
@@ -106,13 +110,14 @@ def bowling_leaderboard(balls: DataFrame, k: int = 20) -> DataFrame:
 
 
 def all_rounders(balls: DataFrame, k: int = 20, runs_above: int = 50, wickets_above: int = 2) -> DataFrame:
-    batting = lines.batting_line(balls, ["batsman"]).select(F.col("batsman").alias("player"), "runs")
-    bowling = lines.bowling_line(balls, ["bowler"]).select(F.col("bowler").alias("player"), "wickets")
-    both = (
-        batting.where(F.col("runs") > runs_above)
-        .join(bowling.where(F.col("wickets") > wickets_above), "player")
+    """Players who both batted and bowled, above both thresholds."""
+    both = lines.player_line(balls, ["player"]).where(
+        (F.col("balls_faced") > 0)
+        & (F.col("balls_bowled") > 0)
+        & (F.col("runs") > runs_above)
+        & (F.col("wickets") > wickets_above)
     )
-    return top_k(both, [F.col("runs").desc(), F.col("player")], k)
+    return top_k(both.select("player", "runs", "wickets"), [F.col("runs").desc(), F.col("player")], k)
 
 
 def player_totals(balls: DataFrame, player: str) -> DataFrame:
@@ -218,32 +223,40 @@ def score_distribution(matches: DataFrame, venue: str | None = None, width: int
 
 
 def dream_team(balls: DataFrame, batsmen: int = 6, bowlers: int = 5) -> DataFrame:
-    bat = lines.batting_line(balls, ["batsman"])
-    bat_points = F.col("runs") + F.col("fours") + F.col("sixes") * 2
-    bowl = lines.bowling_line(balls, ["bowler"])
-    top_bat = top_k(
-        bat.select(
-            F.lit("batsman").alias("role"),
-            F.col("batsman").alias("player"),
-            F.col("runs").alias("contribution"),
-            F.col("strike_rate").alias("rate"),
-            m.ratio(bat_points, F.col("matches"), None).alias("raw"),
-        ),
-        [F.col("raw").desc(), F.col("player")],
-        batsmen,
+    """Best batsmen and bowlers by points per match, both roles from one pass."""
+    agg = (
+        lines.roles(balls)
+        .groupBy("role", "player")
+        .agg(
+            F.sum("runs_scored").alias("runs"),
+            F.count("*").alias("balls"),
+            m.count_where(m.is_four()).alias("fours"),
+            m.count_where(m.is_six()).alias("sixes"),
+            m.count_where(m.is_out()).alias("wickets"),
+            F.countDistinct("match_id").alias("matches"),
+        )
     )
-    top_bowl = top_k(
-        bowl.select(
-            F.lit("bowler").alias("role"),
-            F.col("bowler").alias("player"),
-            F.col("wickets").alias("contribution"),
-            F.col("economy_rate").alias("rate"),
-            m.ratio(F.col("wickets") * 25, F.col("matches"), None).alias("raw"),
-        ),
-        [F.col("raw").desc(), F.col("player")],
-        bowlers,
+    runs, played = F.col("runs"), F.col("matches")
+    bats = F.col("role") == lines.BAT
+    points = F.when(bats, runs + F.col("fours") + F.col("sixes") * 2).otherwise(F.col("wickets") * 25)
+    scored = agg.select(
+        "role",
+        "player",
+        F.when(bats, runs).otherwise(F.col("wickets")).alias("contribution"),
+        F.when(bats, m.strike_rate(runs, F.col("balls"))).otherwise(m.economy(runs, F.col("balls"))).alias("rate"),
+        m.ratio(points, played, None).alias("raw"),
+    )
+    place = F.row_number().over(Window.partitionBy("role").orderBy(F.col("raw").desc(), "player"))
+    size = F.when(bats, batsmen).otherwise(bowlers)
+    # The constant bound lets every task keep only its best few before the shuffle.
+    best = scored.withColumn("_place", place).where(F.col("_place") <= max(batsmen, bowlers))
+    return best.where(F.col("_place") <= size).select(
+        F.when(bats, "batsman").otherwise("bowler").alias("role"),
+        "player",
+        "contribution",
+        "rate",
+        F.round("raw", 1).alias("impact"),
     )
-    return top_bat.unionByName(top_bowl).withColumn("impact", F.round("raw", 1)).drop("raw")
 
 
 def impact_players(balls: DataFrame, phase: str | None = None, min_balls: int = 20, k: int = 15) -> DataFrame:
@@ -278,6 +291,7 @@ def recent_deliveries(balls: DataFrame, n: int = 10) -> DataFrame:
 
 def distinct_names(matches: DataFrame, balls: DataFrame) -> DataFrame:
     """Selector lists: every team (either side), venue and batsman."""
-    kind = lambda df, name, column: df.select(F.lit(name).alias("kind"), F.col(column).alias("name"))
-    teams = lines.sides(matches).select(F.lit("team").alias("kind"), F.col("team").alias("name"))
-    return teams.unionByName(kind(matches, "venue", "venue")).unionByName(kind(balls, "batsman", "batsman")).distinct()
+    entry = lambda kind, c: F.struct(F.lit(kind).alias("kind"), F.col(c).alias("name"))
+    listed = F.array(entry("team", "team1"), entry("team", "team2"), entry("venue", "venue"))
+    batsmen = balls.select(F.lit("batsman").alias("kind"), F.col("batsman").alias("name"))
+    return matches.select(F.inline(listed)).unionByName(batsmen).distinct()

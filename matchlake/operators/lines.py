@@ -74,6 +74,67 @@ def bowling_line(
     )
 
 
+BAT, BOWL = "bat", "bowl"
+
+
+def roles(balls: DataFrame) -> DataFrame:
+    """Two rows per delivery, one for the striker and one for the bowler, from a single scan."""
+    player = lambda role, name, team: F.struct(
+        F.lit(role).alias("role"), F.col(name).alias("player"), F.col(team).alias("team")
+    )
+    kept = (
+        "season match_id innings runs_scored extras is_wicket dismissal_type phase match_phase _loaded_at"
+    ).split()
+    both = F.array(player(BAT, "batsman", "batting_team"), player(BOWL, "bowler", "bowling_team"))
+    return balls.select(*[c for c in kept if c in balls.columns], F.inline(both))
+
+
+def player_line(balls: DataFrame, keys: Sequence[str], dot_rule: str = "bat") -> DataFrame:
+    """Batting and bowling of a player side by side; keys name `player`, not batsman or bowler.
+
+    Grouping both roles together replaces a full outer join of two aggregates: one scan and one
+    shuffle, and a player with a single role simply has zeros for the other.
+    """
+    bat, bowl = F.col("role") == BAT, F.col("role") == BOWL
+    total = lambda role, value: F.sum(F.when(role, value).otherwise(0))
+    out = m.is_out()
+    agg = (
+        roles(balls)
+        .groupBy(*keys)
+        .agg(
+            total(bat, F.col("runs_scored")).alias("runs"),
+            m.count_where(bat).alias("balls_faced"),
+            m.count_where(bat & m.is_four()).alias("fours"),
+            m.count_where(bat & m.is_six()).alias("sixes"),
+            m.count_where(bat & out).alias("dismissals"),
+            F.max(F.when(bat & out, 1).otherwise(0)).alias("was_dismissed"),
+            F.countDistinct(F.when(bat, F.col("match_id"))).alias("matches"),
+            F.countDistinct(F.when(bowl, F.col("match_id"))).alias("matches_bowled"),
+            total(bowl, F.col("runs_scored")).alias("runs_conceded"),
+            m.count_where(bowl).alias("balls_bowled"),
+            m.count_where(bowl & out).alias("wickets"),
+            m.count_where(bowl & m.is_dot(dot_rule)).alias("bowling_dot_balls"),
+            m.count_where(bowl & out & (F.col("dismissal_type") == "caught")).alias("caught_off"),
+            m.count_where(bowl & out & (F.col("dismissal_type") == "run out")).alias("run_out_off"),
+            F.coalesce(F.min(F.when(bat, F.col("team"))), F.min("team")).alias("team"),
+            *([F.min("season").alias("season")] if "season" not in keys else []),
+            *_loaded(balls),
+        )
+    )
+    runs, faced = F.col("runs"), F.col("balls_faced")
+    conceded, bowled = F.col("runs_conceded"), F.col("balls_bowled")
+    zero = lambda c: F.coalesce(c, F.lit(0.0))
+    return agg.withColumns(
+        {
+            "strike_rate": zero(m.strike_rate(runs, faced)),
+            "runs_per_dismissal": m.ratio(runs, F.greatest(F.col("dismissals"), F.lit(1))),
+            "overs_bowled": m.overs_from_balls(bowled),
+            "economy_rate": zero(m.economy(conceded, bowled)),
+            "economy_of_rounded_overs": zero(m.economy_of_rounded_overs(conceded, bowled)),
+        }
+    )
+
+
 def phase_line(balls: DataFrame, keys: Sequence[str], dot_rule: str = "bat") -> DataFrame:
     agg = balls.groupBy(*keys).agg(
         F.sum("runs_scored").alias("total_runs"),

@@ -13,38 +13,35 @@ def _in_season(df: DataFrame, season: int | None) -> DataFrame:
     return df if season is None else df.where(F.col("season") == season)
 
 
+PLAYER_STATS = (
+    "matches_played total_runs fours sixes batting_average strike_rate total_wickets economy_rate"
+).split()
+
+
 def player_stats(
     players: DataFrame, balls: DataFrame, season: int | None = None, role: str | None = None
 ) -> DataFrame:
     """Every registered player with batting and bowling totals; zeros for those without deliveries."""
-    balls = _in_season(balls, season)
-    batting = lines.batting_line(balls, ["batsman"]).select(
-        F.col("batsman").alias("player_name"),
+    totals = lines.player_line(_in_season(balls, season), ["player"]).select(
+        F.col("player").alias("player_name"),
         F.col("matches").alias("matches_played"),
         F.col("runs").alias("total_runs"),
         "fours",
         "sixes",
         F.col("runs_per_dismissal").alias("batting_average"),
         "strike_rate",
-    )
-    bowling = lines.bowling_line(balls, ["bowler"]).select(
-        F.col("bowler").alias("player_name"),
         F.col("wickets").alias("total_wickets"),
         "economy_rate",
     )
     roster = players.withColumn("role", F.coalesce("role", F.lit("Unknown")))
     if role is not None:
         roster = roster.where(F.lower("role") == role.lower())
-    return (
-        roster.join(batting, "player_name", "left")
-        .join(bowling, "player_name", "left")
-        .select(
-            "player_id",
-            "player_name",
-            F.coalesce("nationality", F.lit("Unknown")).alias("nationality"),
-            "role",
-            *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in batting.columns[1:] + bowling.columns[1:]],
-        )
+    return roster.join(totals, "player_name", "left").select(
+        "player_id",
+        "player_name",
+        F.coalesce("nationality", F.lit("Unknown")).alias("nationality"),
+        "role",
+        *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in PLAYER_STATS],
     )
 
 

@@ -21,6 +21,11 @@ MATCH_FACT = (
     "player_of_match total_match_runs toss_winner_won_match batting_first_won"
 ).split()
 
+CAREER = (
+    "matches_played total_runs total_balls_faced total_fours total_sixes highest_score batting_average "
+    "career_strike_rate fifties centuries total_wickets career_economy best_bowling_figures"
+).split()
+
 MATCH_DIM = (
     "match_id season match_number match_date venue city team1 team2 toss_winner toss_decision "
     "first_batting second_batting winner result_type margin player_of_match umpire1 umpire2 "
@@ -65,47 +70,53 @@ def bowling_stats(stg_balls: DataFrame) -> DataFrame:
 
 
 def dim_player(stg_players: DataFrame, stg_balls: DataFrame) -> DataFrame:
-    """Career line per registered player; zeros where a player never batted or bowled."""
-    career_batting = (
-        batting_stats(stg_balls)
-        .groupBy("player_name")
+    """Career line per registered player; zeros where a player never batted or bowled.
+
+    Averages run over innings lines, so both roles are first taken to that grain in one pass.
+    """
+    grain = ["season", "match_id", "innings", "player", "team", "role"]
+    innings = (
+        lines.roles(stg_balls)
+        .groupBy(*grain)
         .agg(
-            F.countDistinct("match_id").alias("matches_played"),
-            F.sum("runs").alias("total_runs"),
-            F.sum("balls_faced").alias("total_balls_faced"),
-            F.sum("fours").alias("total_fours"),
-            F.sum("sixes").alias("total_sixes"),
-            F.max("runs").alias("highest_score"),
-            m.int_avg(F.col("runs"), 2).alias("batting_average"),
-            m.strike_rate(F.sum("runs"), F.sum("balls_faced")).alias("career_strike_rate"),
-            m.count_where(F.col("runs") >= 50).alias("fifties"),
-            m.count_where(F.col("runs") >= 100).alias("centuries"),
+            F.sum("runs_scored").alias("runs"),
+            F.count("*").alias("balls"),
+            m.count_where(m.is_four()).alias("fours"),
+            m.count_where(m.is_six()).alias("sixes"),
+            m.count_where(m.is_out()).alias("wickets"),
         )
+        .withColumn("economy", m.economy_of_rounded_overs(F.col("runs"), F.col("balls")))
     )
-    career_bowling = (
-        bowling_stats(stg_balls)
-        .groupBy("player_name")
+    bat, bowl = F.col("role") == lines.BAT, F.col("role") == lines.BOWL
+    of = lambda role, c: F.when(role, F.col(c))
+    career = (
+        innings.groupBy(F.col("player").alias("player_name"))
         .agg(
-            F.sum("wickets").alias("total_wickets"),
-            m.exact_avg(F.col("economy_rate"), 2).alias("career_economy"),
-            F.max("wickets").alias("best_bowling_figures"),
+            F.countDistinct(of(bat, "match_id")).alias("matches_played"),
+            F.sum(of(bat, "runs")).alias("total_runs"),
+            F.sum(of(bat, "balls")).alias("total_balls_faced"),
+            F.sum(of(bat, "fours")).alias("total_fours"),
+            F.sum(of(bat, "sixes")).alias("total_sixes"),
+            F.max(of(bat, "runs")).alias("highest_score"),
+            m.int_avg(of(bat, "runs"), 2).alias("batting_average"),
+            m.count_where(of(bat, "runs") >= 50).alias("fifties"),
+            m.count_where(of(bat, "runs") >= 100).alias("centuries"),
+            F.sum(of(bowl, "wickets")).alias("total_wickets"),
+            m.exact_avg(of(bowl, "economy"), 2).alias("career_economy"),
+            F.max(of(bowl, "wickets")).alias("best_bowling_figures"),
         )
+        .withColumn("career_strike_rate", m.strike_rate(F.col("total_runs"), F.col("total_balls_faced")))
     )
-    stats = career_batting.columns[1:] + career_bowling.columns[1:]
-    return (
-        stg_players.join(career_batting, "player_name", "left")
-        .join(career_bowling, "player_name", "left")
-        .select(
-            "player_id",
-            "player_name",
-            "nationality",
-            "date_of_birth",
-            "batting_style",
-            "bowling_style",
-            "player_role",
-            "ipl_debut_year",
-            *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in stats],
-        )
+    return stg_players.join(career, "player_name", "left").select(
+        "player_id",
+        "player_name",
+        "nationality",
+        "date_of_birth",
+        "batting_style",
+        "bowling_style",
+        "player_role",
+        "ipl_debut_year",
+        *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in CAREER],
     )
 
 
@@ -200,44 +211,24 @@ def fact_match_summary(stg_matches: DataFrame, stg_balls: DataFrame) -> DataFram
 def fact_player_performance(stg_balls: DataFrame) -> DataFrame:
     """One row per (match, player), batting and bowling side by side.
 
-    Both sides are aggregated to that grain first, so a player appearing in two innings neither
-    fans out nor breaks the merge key.
+    The grain is the merge key, so a player appearing in two innings neither fans out nor breaks it.
     """
-    batting = lines.batting_line(stg_balls, ["season", "match_id", "batsman"], "all").select(
-        F.col("season").alias("bat_season"),
+    return lines.player_line(stg_balls, ["match_id", "player"], "all").select(
+        "season",
         "match_id",
-        F.col("batsman").alias("player_name"),
-        F.col("team").alias("bat_team"),
-        "runs",
+        F.col("player").alias("player_name"),
+        "team",
+        F.col("runs").alias("batting_runs"),
         "balls_faced",
         "fours",
         "sixes",
         "strike_rate",
         "was_dismissed",
-        F.col("_loaded_at").alias("bat_loaded"),
-    )
-    bowling = lines.bowling_line(stg_balls, ["season", "match_id", "bowler"], "all").select(
-        F.col("season").alias("bowl_season"),
-        "match_id",
-        F.col("bowler").alias("player_name"),
-        F.col("team").alias("bowl_team"),
         "wickets",
         "runs_conceded",
         "overs_bowled",
         F.col("economy_of_rounded_overs").alias("economy_rate"),
-        F.col("dot_balls").alias("bowling_dot_balls"),
-        F.col("_loaded_at").alias("bowl_loaded"),
-    )
-    zero = lambda c: F.coalesce(F.col(c), F.lit(0)).alias(c)
-    combined = batting.join(bowling, ["match_id", "player_name"], "full_outer").select(
-        F.coalesce("bat_season", "bowl_season").alias("season"),
-        "match_id",
-        "player_name",
-        F.coalesce("bat_team", "bowl_team").alias("team"),
-        *[zero(c) for c in batting.columns[4:-1]],
-        *[zero(c) for c in bowling.columns[4:-1]],
-        F.greatest("bat_loaded", "bowl_loaded").alias("_loaded_at"),
-    )
-    return combined.withColumn("fantasy_points", scoring.simple_fantasy_points()).withColumnRenamed(
-        "runs", "batting_runs"
+        "bowling_dot_balls",
+        scoring.simple_fantasy_points().alias("fantasy_points"),
+        "_loaded_at",
     )

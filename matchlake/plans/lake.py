@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from matchlake.functions import metrics as m
 from matchlake.functions import scoring
-from matchlake.operators import gold, silver, state
+from matchlake.operators import gold, lines, silver, state
 from matchlake.plans.base import Tables, cnt, query, r
 
 DOT = cnt("runs_scored = 0")
@@ -503,22 +503,9 @@ FULL_LINE_SQL = f"""
 )
 def _(t):
     # Deliveries name no fielder; the bowler stands in for catches and run-outs here.
-    caught = lambda kind: m.count_where(m.is_out() & (F.col("dismissal_type") == kind))
-    batting = t.balls.groupBy("match_id", F.col("batsman").alias("player")).agg(
-        F.sum("runs_scored").alias("runs"),
-        F.count("*").alias("balls_faced"),
-        m.count_where(m.is_four()).alias("fours"),
-        m.count_where(m.is_six()).alias("sixes"),
-    )
-    bowling = t.balls.groupBy("match_id", F.col("bowler").alias("player")).agg(
-        m.count_where(m.is_out()).alias("wickets"),
-        F.sum("runs_scored").alias("runs_conceded"),
-        m.overs_from_balls(F.count("*")).alias("overs_bowled"),
-        caught("caught").alias("catches"),
-        caught("run out").alias("run_outs"),
-    )
-    both = batting.join(bowling, ["match_id", "player"], "full_outer").na.fill(0)
-    return both.withColumns(scoring.fantasy_points())
+    line = lines.player_line(t.balls, ["match_id", "player"])
+    fielding = {"catches": F.col("caught_off"), "run_outs": F.col("run_out_off")}
+    return line.withColumns(fielding).withColumns(scoring.fantasy_points())
 
 
 @query(
@@ -530,10 +517,8 @@ def _(t):
         FROM ({FULL_LINE_SQL})""",
 )
 def _(t):
-    batting = gold.batting_performance(t.balls).select("match_id", "player_name", "runs", "fours", "sixes")
-    bowling = gold.bowling_performance(t.balls).select("match_id", "player_name", "wickets")
-    both = batting.join(bowling, ["match_id", "player_name"], "full_outer").na.fill(0)
-    return both.select("match_id", F.col("player_name").alias("player"), scoring.simple_fantasy_points().alias("fantasy_points"))
+    line = lines.player_line(t.balls, ["match_id", "player"])
+    return line.select("match_id", "player", scoring.simple_fantasy_points().alias("fantasy_points"))
 
 
 @query(
