@@ -27,32 +27,50 @@ def quarantine(states: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def with_chase_probability(states: DataFrame) -> DataFrame:
-    """Adds chase win probability to rows with target, score, wickets and overs."""
-    target, score, wickets, overs = (F.col(c) for c in ("target", "score", "wickets", "overs"))
-    need = target - score
-    balls = F.greatest(F.lit(1), ((F.lit(20) - overs) * 6).cast("int"))
-    in_hand = F.lit(10) - wickets
-    required = need / balls * 6
-    current = score / F.greatest(F.lit(1.0), overs * 6) * 6
-    rate_factor = current / F.greatest(F.lit(0.1), required)
-    wicket_factor = in_hand / F.lit(10.0)
-    resources = balls / F.lit(120) * wicket_factor
-    logistic = F.lit(1) / (F.lit(1) + F.exp((rate_factor - 1) * F.lit(-2)))
-    blend = logistic * F.lit(0.6).cast("double") + resources * F.lit(0.3) + wicket_factor * F.lit(0.1)
-    dampened = F.when(wickets >= 8, blend * F.lit(0.4)).when(wickets >= 6, blend * F.lit(0.7)).otherwise(blend)
-    decided = F.when(need <= 0, F.lit(1.0)).otherwise(dampened)
-    p = F.when(decided.isNotNull(), F.least(F.lit(0.99), F.greatest(F.lit(0.01), decided)))
-    return states.withColumns(
+    """Adds chase win probability to rows with target, score, wickets and overs.
+
+    Built in steps, so that each intermediate value is computed once per row.
+    """
+    score, wickets, overs = (F.col(c) for c in ("score", "wickets", "overs"))
+    need, balls = F.col("runs_needed"), F.col("balls_remaining")
+    state = states.withColumns(
         {
-            "batting_win_probability": F.round(p, 4),
-            "bowling_win_probability": F.round(F.lit(1) - p, 4),
-            "required_rate": F.round(required, 2),
-            "current_rate": F.round(current, 2),
-            "runs_needed": need,
-            "balls_remaining": balls,
-            "wickets_in_hand": in_hand,
+            "runs_needed": F.col("target") - score,
+            "balls_remaining": F.greatest(F.lit(1), ((F.lit(20) - overs) * 6).cast("int")),
+            "wickets_in_hand": F.lit(10) - wickets,
         }
     )
+    rates = state.withColumns(
+        {
+            "_required": need / balls * 6,
+            "_current": score / F.greatest(F.lit(1.0), overs * 6) * 6,
+            "_wicket_factor": F.col("wickets_in_hand") / F.lit(10.0),
+        }
+    )
+    rate_factor = F.col("_current") / F.greatest(F.lit(0.1), F.col("_required"))
+    wicket_factor = F.col("_wicket_factor")
+    resources = balls / F.lit(120) * wicket_factor
+    logistic = F.lit(1) / (F.lit(1) + F.exp((rate_factor - 1) * F.lit(-2)))
+    blend = logistic * F.lit(0.6) + resources * F.lit(0.3) + wicket_factor * F.lit(0.1)
+    dampened = F.when(wickets >= 8, F.lit(0.4)).when(wickets >= 6, F.lit(0.7)).otherwise(F.lit(1.0)) * blend
+    decided = rates.withColumn("_decided", F.when(need <= 0, F.lit(1.0)).otherwise(dampened))
+    return (
+        decided.withColumn("_p", _clamp(F.col("_decided"), 0.01, 0.99))
+        .withColumns(
+            {
+                "batting_win_probability": F.round("_p", 4),
+                "bowling_win_probability": F.round(F.lit(1) - F.col("_p"), 4),
+                "required_rate": F.round("_required", 2),
+                "current_rate": F.round("_current", 2),
+            }
+        )
+        .drop("_required", "_current", "_wicket_factor", "_decided", "_p")
+    )
+
+
+def _clamp(value: Column, low: float, high: float) -> Column:
+    """value within [low, high]; NULL stays NULL."""
+    return F.when(value.isNotNull(), F.least(F.lit(high), F.greatest(F.lit(low), value)))
 
 
 def projected_total(score: Column, wickets: Column, overs: Column) -> Column:
@@ -64,16 +82,20 @@ def projected_total(score: Column, wickets: Column, overs: Column) -> Column:
 
 
 def with_first_innings_probability(states: DataFrame) -> DataFrame:
-    projected = projected_total(F.col("score"), F.col("wickets"), F.col("overs"))
-    raw = F.lit(0.5) + (projected - PAR_TOTAL) * F.lit(0.008) - F.col("wickets") * F.lit(0.03)
-    p = F.when(raw.isNotNull(), F.least(F.lit(0.95), F.greatest(F.lit(0.05), raw)))
-    return states.withColumns(
-        {
-            "batting_win_probability": F.round(p, 4),
-            "bowling_win_probability": F.round(F.lit(1) - p, 4),
-            # Halves go to the even total, so a projection of 170.5 reads 170.
-            "projected_total": F.bround(projected, 0).cast("bigint"),
-        }
+    projected = states.withColumn("_total", projected_total(F.col("score"), F.col("wickets"), F.col("overs")))
+    raw = F.lit(0.5) + (F.col("_total") - PAR_TOTAL) * F.lit(0.008) - F.col("wickets") * F.lit(0.03)
+    return (
+        projected.withColumn("_raw", raw)
+        .withColumn("_p", _clamp(F.col("_raw"), 0.05, 0.95))
+        .withColumns(
+            {
+                "batting_win_probability": F.round("_p", 4),
+                "bowling_win_probability": F.round(F.lit(1) - F.col("_p"), 4),
+                # Halves go to the even total, so a projection of 170.5 reads 170.
+                "projected_total": F.bround("_total", 0).cast("bigint"),
+            }
+        )
+        .drop("_total", "_raw", "_p")
     )
 
 
@@ -151,21 +173,26 @@ def with_pressure(states: DataFrame) -> DataFrame:
     """
     need, balls, in_hand = F.col("runs_needed"), F.col("balls_remaining"), F.col("wickets_in_hand")
     required = F.when(balls > 0, F.try_divide(need.cast("double"), balls.cast("double")) * 6).otherwise(F.lit(999.0))
-    wicket = (F.lit(10) - in_hand) / F.lit(10.0)
-    rate = F.least(required / F.lit(12.0), F.lit(1.0))
+    pressure = states.withColumns({"_required": required, "_wicket": (F.lit(10) - in_hand) / F.lit(10.0)})
+    rated = pressure.withColumn("_rate", F.least(F.col("_required") / F.lit(12.0), F.lit(1.0)))
     ball = F.lit(1) - balls / F.lit(120.0)
-    index = (rate * F.lit(0.4) + wicket * F.lit(0.35) + ball * F.lit(0.25)) * 100
-    return states.withColumns(
-        {
-            "pressure_index": F.round(index, 1),
-            "required_rate": F.round(required, 2),
-            "wicket_pressure": F.round(wicket * 100, 1),
-            "rate_pressure": F.round(rate * 100, 1),
-            "assessment": F.when(index > 80, "extreme")
-            .when(index > 60, "high")
-            .when(index > 40, "moderate")
-            .otherwise("low"),
-        }
+    index = (F.col("_rate") * F.lit(0.4) + F.col("_wicket") * F.lit(0.35) + ball * F.lit(0.25)) * 100
+    at = F.col("_index")
+    return (
+        rated.withColumn("_index", index)
+        .withColumns(
+            {
+                "pressure_index": F.round(at, 1),
+                "required_rate": F.round("_required", 2),
+                "wicket_pressure": F.round(F.col("_wicket") * 100, 1),
+                "rate_pressure": F.round(F.col("_rate") * 100, 1),
+                "assessment": F.when(at > 80, "extreme")
+                .when(at > 60, "high")
+                .when(at > 40, "moderate")
+                .when(at.isNotNull(), "low"),
+            }
+        )
+        .drop("_required", "_wicket", "_rate", "_index")
     )
 
 

@@ -8,7 +8,12 @@ from matchlake.operators import lines
 
 
 def batting_performance(balls: DataFrame) -> DataFrame:
-    return lines.batting_line(balls, ["season", "match_id", "batsman"]).select(
+    keys = ["season", "match_id", "batsman"]
+    counts = ("runs", "balls_faced", "fours", "sixes", "boundaries", "dot_balls")
+    per_team = lines.batting_line(balls, [*keys, "batting_team"]).select(*keys, "batting_team", *counts)
+    merged = lines.one_text(per_team, keys, "batting_team")
+    runs, faced = F.col("runs"), F.col("balls_faced")
+    return merged.select(
         "season",
         "match_id",
         F.col("batsman").alias("player_name"),
@@ -17,14 +22,19 @@ def batting_performance(balls: DataFrame) -> DataFrame:
         "fours",
         "sixes",
         "dot_balls",
-        "team",
-        "strike_rate",
-        "boundary_percentage",
+        F.col("batting_team").alias("team"),
+        m.strike_rate(runs, faced).alias("strike_rate"),
+        m.percent(F.col("boundaries"), faced).alias("boundary_percentage"),
     )
 
 
 def bowling_performance(balls: DataFrame) -> DataFrame:
-    return lines.bowling_line(balls, ["season", "match_id", "bowler"]).select(
+    keys = ["season", "match_id", "bowler"]
+    counts = ("runs_conceded", "balls_bowled", "wickets", "dot_balls")
+    per_team = lines.bowling_line(balls, [*keys, "bowling_team"]).select(*keys, "bowling_team", *counts)
+    merged = lines.one_text(per_team, keys, "bowling_team")
+    runs, bowled = F.col("runs_conceded"), F.col("balls_bowled")
+    return merged.select(
         "season",
         "match_id",
         F.col("bowler").alias("player_name"),
@@ -32,9 +42,9 @@ def bowling_performance(balls: DataFrame) -> DataFrame:
         "balls_bowled",
         "wickets",
         F.col("dot_balls").alias("dot_balls_bowled"),
-        F.col("team").alias("bowling_team"),
-        "economy_rate",
-        "overs_bowled",
+        "bowling_team",
+        m.economy(runs, bowled).alias("economy_rate"),
+        m.overs_from_balls(bowled).alias("overs_bowled"),
     )
 
 

@@ -194,7 +194,7 @@ def venue_table(matches: DataFrame) -> DataFrame:
 def venue_detail(matches: DataFrame, venue: str) -> DataFrame:
     return lines.venue_line(matches.where(F.col("venue") == venue), ["venue"]).select(
         "venue",
-        F.col("any_city").alias("city"),
+        "city",
         "matches_hosted",
         F.round("avg_first_innings", 0).alias("avg_first_innings"),
         F.round("avg_second_innings", 0).alias("avg_second_innings"),

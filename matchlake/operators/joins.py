@@ -9,16 +9,21 @@ SLOTS = 8
 
 
 def spread_join(
-    big: DataFrame, small: DataFrame, on: Sequence[str], spread_by: str, how: str = "inner", slots: int = SLOTS
+    big: DataFrame,
+    small: DataFrame,
+    on: Sequence[str],
+    spread_by: Sequence[str],
+    how: str = "inner",
+    slots: int = SLOTS,
 ) -> DataFrame:
     """Equi-join where a key holding a large share of `big` is split over `slots` tasks.
 
-    Rows of `big` get a slot from the hash of `spread_by`; `small`, which has one row per key, is
+    Rows of `big` get a slot from the hash of the `spread_by` columns; `small`, which has one row per key, is
     repeated per slot. `small` must be well below 1/slots of `big`. When it turns out small enough
     at run time the join is broadcast instead and the slots cost nothing.
     """
     if how not in ("inner", "left", "left_semi"):
         raise ValueError(f"a row of the small side would repeat under {how!r}")
-    slotted = big.withColumn("_slot", F.pmod(F.xxhash64(spread_by), F.lit(slots)).cast("int"))
+    slotted = big.withColumn("_slot", F.pmod(F.hash(*spread_by), F.lit(slots)))
     copies = small.withColumn("_slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))))
     return slotted.join(copies, [*on, "_slot"], how).drop("_slot")

@@ -18,6 +18,19 @@ def _loaded(balls: DataFrame) -> list[Column]:
     return [F.max("_loaded_at").alias("_loaded_at")] if "_loaded_at" in balls.columns else []
 
 
+def one_text(counts: DataFrame, keys: Sequence[str], text: str, prefer: Column | None = None) -> DataFrame:
+    """Folds counts grouped by (*keys, text) to one row per key, keeping the first text by name, of
+    those where `prefer` holds if any does.
+
+    A text column inside an aggregate makes Spark sort every input row; grouping by it first hashes
+    them, and only the few rows left per key are sorted here.
+    """
+    rest = [c for c in counts.columns if c not in {*keys, text}]
+    how = {"was_dismissed": F.max, "_loaded_at": F.max, "season": F.min, "first_season": F.min, "last_season": F.max}
+    first = F.min(text) if prefer is None else F.min_by(text, F.struct(~prefer, F.col(text)))
+    return counts.groupBy(*keys).agg(first.alias(text), *[how.get(c, F.sum)(c).alias(c) for c in rest])
+
+
 def batting_line(
     balls: DataFrame,
     keys: Sequence[str],
@@ -35,8 +48,6 @@ def batting_line(
         m.count_where(out).alias("dismissals"),
         F.max(out.cast("int")).alias("was_dismissed"),
         F.countDistinct("match_id").alias("matches"),
-        F.min("batting_team").alias("team"),
-        *_loaded(balls),
     )
     runs, faced = F.col("runs"), F.col("balls_faced")
     return agg.withColumns(
@@ -61,8 +72,6 @@ def bowling_line(
         m.count_where(m.is_out(exclude_run_outs)).alias("wickets"),
         m.count_where(m.is_dot(dot_rule)).alias("dot_balls"),
         F.countDistinct("match_id").alias("matches"),
-        F.min("bowling_team").alias("team"),
-        *_loaded(balls),
     )
     runs, bowled = F.col("runs_conceded"), F.col("balls_bowled")
     return agg.withColumns(
@@ -109,18 +118,20 @@ def player_line(balls: DataFrame, keys: Sequence[str], dot_rule: str = "bat") ->
             m.count_where(bat & out).alias("dismissals"),
             F.max(F.when(bat & out, 1).otherwise(0)).alias("was_dismissed"),
             F.countDistinct(F.when(bat, F.col("match_id"))).alias("matches"),
-            F.countDistinct(F.when(bowl, F.col("match_id"))).alias("matches_bowled"),
             total(bowl, F.col("runs_scored")).alias("runs_conceded"),
             m.count_where(bowl).alias("balls_bowled"),
             m.count_where(bowl & out).alias("wickets"),
             m.count_where(bowl & m.is_dot(dot_rule)).alias("bowling_dot_balls"),
             m.count_where(bowl & out & (F.col("dismissal_type") == "caught")).alias("caught_off"),
             m.count_where(bowl & out & (F.col("dismissal_type") == "run out")).alias("run_out_off"),
-            F.coalesce(F.min(F.when(bat, F.col("team"))), F.min("team")).alias("team"),
             *([F.min("season").alias("season")] if "season" not in keys else []),
             *_loaded(balls),
         )
     )
+    return with_player_rates(agg)
+
+
+def with_player_rates(agg: DataFrame) -> DataFrame:
     runs, faced = F.col("runs"), F.col("balls_faced")
     conceded, bowled = F.col("runs_conceded"), F.col("balls_bowled")
     zero = lambda c: F.coalesce(c, F.lit(0.0))
@@ -215,23 +226,27 @@ def team_line(matches: DataFrame, keys: Sequence[str]) -> DataFrame:
 def venue_line(matches: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Hosting, scoring and result split. chase_wins counts every match the first side did not win,
     undecided ones included; `undecided` shows how many those are."""
-    agg = matches.groupBy(*keys).agg(
+    grain = list(keys) if "city" in keys else [*keys, "city"]
+    rate = lambda n: F.col(f"innings{n}_run_rate").cast("decimal(18,2)")
+    agg = matches.groupBy(*grain).agg(
         F.count("*").alias("matches_hosted"),
         F.sum("total_runs").alias("runs_total"),
         F.sum("innings1_runs").alias("runs_first"),
         F.sum("innings2_runs").alias("runs_second"),
+        F.sum(rate(1)).alias("rate_first"),
+        F.sum(rate(2)).alias("rate_second"),
         F.count("total_runs").alias("n_total"),
         F.count("innings1_runs").alias("n_first"),
         F.count("innings2_runs").alias("n_second"),
+        F.count(rate(1)).alias("n_rate_first"),
+        F.count(rate(2)).alias("n_rate_second"),
         m.count_where(F.col("result_type") == "runs").alias("bat_first_wins"),
         m.count_where(F.col("winner").isNull()).alias("undecided"),
-        m.exact_avg(F.col("innings1_run_rate")).alias("avg_run_rate"),
-        m.exact_avg(F.col("innings1_run_rate"), 2).alias("avg_first_innings_rr"),
-        m.exact_avg(F.col("innings2_run_rate"), 2).alias("avg_second_innings_rr"),
-        F.min("season").alias("first_match_season"),
-        F.max("season").alias("last_match_season"),
-        F.min("city").alias("any_city"),
+        F.min("season").alias("first_season"),
+        F.max("season").alias("last_season"),
     )
+    if "city" not in keys:
+        agg = one_text(agg, keys, "city")
     hosted = F.col("matches_hosted")
     chases = hosted - F.col("bat_first_wins")
     return agg.withColumns(
@@ -239,6 +254,9 @@ def venue_line(matches: DataFrame, keys: Sequence[str]) -> DataFrame:
             "chase_wins": chases,
             "bat_first_win_pct": m.percent(F.col("bat_first_wins"), hosted),
             "chase_win_pct": m.percent(chases, hosted),
+            "avg_run_rate": m.ratio(F.col("rate_first"), F.col("n_rate_first"), None),
+            "avg_first_innings_rr": m.ratio(F.col("rate_first"), F.col("n_rate_first")),
+            "avg_second_innings_rr": m.ratio(F.col("rate_second"), F.col("n_rate_second")),
             **{
                 name: m.ratio(F.col(f"runs_{part}"), F.col(f"n_{part}"), None)
                 for name, part in (

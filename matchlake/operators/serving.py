@@ -148,7 +148,7 @@ def venue_stats(matches: DataFrame) -> DataFrame:
     """One row per venue; a venue listed under several cities takes the first by name."""
     return lines.venue_line(matches, ["venue"]).select(
         F.col("venue").alias("venue_name"),
-        F.col("any_city").alias("city"),
+        "city",
         "matches_hosted",
         F.round("avg_first_innings", 1).alias("avg_first_innings"),
         F.round("avg_second_innings", 1).alias("avg_second_innings"),

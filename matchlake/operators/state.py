@@ -143,19 +143,27 @@ def summarise_match(balls: DataFrame, tie_rule: str = "defending") -> DataFrame:
     """
     if tie_rule not in ("defending", "undecided"):
         raise ValueError(f"unknown tie rule {tie_rule!r}")
-    first, second = F.col("innings") == 1, F.col("innings") == 2
     clean = ~m.is_true(F.col("extras_type") != "none")
-    total = lambda inn: F.sum(F.when(inn, ball_runs()).otherwise(0)).cast("bigint")
-    agg = balls.groupBy("match_id").agg(
+    # Hashed down to a row or two per innings first, because picking the team names sorts its input.
+    per_innings = balls.groupBy("match_id", "innings", "batting_team", "bowling_team").agg(
+        F.sum(ball_runs()).alias("runs"),
+        m.count_where(m.is_out()).alias("wickets"),
+        m.count_where(m.is_legal()).alias("legal"),
+        m.count_where(m.is_four() & clean).alias("fours"),
+        m.count_where(m.is_six() & clean).alias("sixes"),
+    )
+    first, second = F.col("innings") == 1, F.col("innings") == 2
+    total = lambda inn, c: F.sum(F.when(inn, F.col(c)).otherwise(0)).cast("bigint")
+    agg = per_innings.groupBy("match_id").agg(
         F.min(F.when(first, F.col("batting_team"))).alias("innings1_team"),
-        total(first).alias("innings1_runs"),
-        m.count_where(first & m.is_out()).alias("innings1_wickets"),
+        total(first, "runs").alias("innings1_runs"),
+        total(first, "wickets").alias("innings1_wickets"),
         F.min(F.when(second, F.col("batting_team"))).alias("innings2_team"),
-        total(second).alias("innings2_runs"),
-        m.count_where(second & m.is_out()).alias("innings2_wickets"),
-        m.count_where(m.is_legal()).alias("total_balls"),
-        m.count_where(m.is_four() & clean).alias("total_fours"),
-        m.count_where(m.is_six() & clean).alias("total_sixes"),
+        total(second, "runs").alias("innings2_runs"),
+        total(second, "wickets").alias("innings2_wickets"),
+        F.sum("legal").alias("total_balls"),
+        F.sum("fours").alias("total_fours"),
+        F.sum("sixes").alias("total_sixes"),
         F.min(F.when(first, F.col("bowling_team"))).alias("_chasers"),
         F.min(F.when(second, F.col("bowling_team"))).alias("_defenders"),
     )

@@ -26,6 +26,11 @@ CAREER = (
     "career_strike_rate fifties centuries total_wickets career_economy best_bowling_figures"
 ).split()
 
+PLAYER_COUNTS = (
+    "runs balls_faced fours sixes dismissals was_dismissed runs_conceded balls_bowled wickets bowling_dot_balls "
+    "season _loaded_at"
+).split()
+
 MATCH_DIM = (
     "match_id season match_number match_date venue city team1 team2 toss_winner toss_decision "
     "first_batting second_batting winner result_type margin player_of_match umpire1 umpire2 "
@@ -166,8 +171,8 @@ def dim_venue(stg_matches: DataFrame, country: str = "India") -> DataFrame:
         F.round(F.lit(100) - F.col("bat_first_win_pct"), 2).alias("chase_win_pct"),
         "avg_first_innings_rr",
         "avg_second_innings_rr",
-        "first_match_season",
-        "last_match_season",
+        F.col("first_season").alias("first_match_season"),
+        F.col("last_season").alias("last_match_season"),
     )
     return with_ordinal(venues, [F.col("venue_name"), F.col("city")], "venue_id")
 
@@ -213,7 +218,10 @@ def fact_player_performance(stg_balls: DataFrame) -> DataFrame:
 
     The grain is the merge key, so a player appearing in two innings neither fans out nor breaks it.
     """
-    return lines.player_line(stg_balls, ["match_id", "player"], "all").select(
+    keys = ["match_id", "player"]
+    per_team = lines.player_line(stg_balls, [*keys, "team"], "all").select(*keys, "team", *PLAYER_COUNTS)
+    merged = lines.one_text(per_team, keys, "team", prefer=F.col("balls_faced") > 0)
+    return lines.with_player_rates(merged).select(
         "season",
         "match_id",
         F.col("player").alias("player_name"),

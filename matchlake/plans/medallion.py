@@ -79,7 +79,7 @@ def build_warehouse(spark: SparkSession, lake: Lake) -> dict[str, int]:
     merge("fact_match_summary", warehouse.fact_match_summary(new_matches, balls), ["match_id"])
     # A player's match line needs all deliveries of that match, not only the new ones.
     touched = _new_rows(spark, lake, balls, "fact_player_performance").select("match_id").distinct()
-    affected = spread_join(balls, touched, ["match_id"], "ball_id", "left_semi")
+    affected = spread_join(balls, touched, ["match_id"], ["innings", "over_number"], "left_semi")
     merge("fact_player_performance", warehouse.fact_player_performance(affected), ["match_id", "player_name"])
     return rows
 

@@ -23,6 +23,16 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def spread_small(df: DataFrame, key: str) -> DataFrame:
+    """Uses all cores on a table stored in fewer splits than there are cores.
+
+    Its first stage, often the joins and partial aggregates too, would otherwise run on a few of them.
+    Any table worth a cluster has more splits than cores and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_json(spark: SparkSession, path: str, schema: StructType, lines: bool = False) -> DataFrame:
     """JSON with a declared schema. lines=True reads one object per line, which can be split;
     otherwise each file is one (pretty-printed) array."""
