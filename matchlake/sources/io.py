@@ -5,7 +5,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 CORRUPT = "_corrupt_record"
 
@@ -42,17 +42,23 @@ def read_json(spark: SparkSession, path: str, schema: StructType, lines: bool =
 def read_json_tolerant(
     spark: SparkSession, path: str, schema: StructType, lines: bool = False
 ) -> tuple[DataFrame, DataFrame]:
-    """Good rows, and bad rows with their raw text."""
-    kept = StructType([*schema.fields, StructField(CORRUPT, StringType())])
-    rows = (
-        spark.read.schema(kept)
-        .option("multiLine", not lines)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .json(path)
-    )
-    bad = F.col(CORRUPT).isNotNull()
-    return rows.where(~bad).drop(CORRUPT), rows.where(bad).select(CORRUPT, F.col("_metadata.file_path").alias("file"))
+    """Good rows, and the raw text and file of what could not be read.
+
+    lines=True judges each line by itself; otherwise a file is one array and stands or falls whole.
+    """
+    text = spark.read.text(path, wholetext=not lines).where(F.trim("value") != "")
+    raw = text.select("value", F.col("_metadata.file_path").alias("file"))
+    if lines:
+        kept = StructType([*schema.fields, StructField(CORRUPT, StringType())])
+        parsed = raw.withColumn("row", F.from_json("value", kept, {"columnNameOfCorruptRecord": CORRUPT}))
+        bad = F.col("row").isNull() | F.col(f"row.{CORRUPT}").isNotNull()
+        good = parsed.where(~bad)
+    else:
+        parsed = raw.withColumn("rows", F.from_json("value", ArrayType(schema)))
+        bad = F.col("rows").isNull()
+        good = parsed.select(F.explode("rows").alias("row"))
+    columns = [F.col(f"row.{c}").alias(c) for c in schema.fieldNames()]
+    return good.select(*columns), parsed.where(bad).select("value", "file")
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet", merge_schema: bool = False) -> DataFrame:

@@ -56,19 +56,8 @@ def match_headers(documents: DataFrame) -> DataFrame:
 
 def deliveries(documents: DataFrame) -> DataFrame:
     """One row per delivery with its match header; innings counted from 1 by position."""
-    by_innings = documents.select("source_file", "info", F.posexplode("innings").alias("_pos", "_named"))
-    by_delivery = by_innings.select(
-        "source_file",
-        "info",
-        (F.col("_pos") + 1).alias("innings"),
-        F.explode(F.map_values("_named")).alias("_innings"),
-    ).select("source_file", "info", "innings", F.explode("_innings.deliveries").alias("_delivery"))
-    flat = by_delivery.select("source_file", "info", "innings", F.explode("_delivery").alias("over_ball", "d"))
-    extra = F.get(F.map_entries("d.extras"), 0)
-    wicket = F.get("d.wickets", 0)
-    is_wicket = is_true(F.size("d.wickets") > 0)
-    runs = lambda c: F.coalesce(F.col(f"d.runs.{c}"), F.lit(0))
-    return flat.select(
+    # Header values are taken out before exploding, so the document is not copied into every row.
+    head = documents.select(
         "source_file",
         _text("info.venue").alias("venue"),
         _text("info.city").alias("city"),
@@ -77,6 +66,21 @@ def deliveries(documents: DataFrame) -> DataFrame:
         F.coalesce(F.get("info.teams", 0), F.lit("")).alias("team1"),
         F.coalesce(F.get("info.teams", 1), F.lit("")).alias("team2"),
         "innings",
+    )
+    header = head.columns[:-1]
+    by_innings = head.select(*header, F.posexplode("innings").alias("_pos", "_named"))
+    by_detail = by_innings.select(
+        *header, (F.col("_pos") + 1).alias("innings"), F.explode(F.map_values("_named")).alias("_detail")
+    )
+    by_delivery = by_detail.select(*header, "innings", F.explode("_detail.deliveries").alias("_delivery"))
+    flat = by_delivery.select(*header, "innings", F.explode("_delivery").alias("over_ball", "d"))
+    extra = F.get(F.map_entries("d.extras"), 0)
+    wicket = F.get("d.wickets", 0)
+    is_wicket = is_true(F.size("d.wickets") > 0)
+    runs = lambda c: F.coalesce(F.col(f"d.runs.{c}"), F.lit(0))
+    return flat.select(
+        *header,
+        "innings",
         "over_ball",
         _text("d.batsman").alias("batsman"),
         _text("d.bowler").alias("bowler"),
