@@ -27,7 +27,11 @@ def newest_rows(delta: DataFrame, keys: Sequence[str], order_col: str) -> DataFr
 
 def merge_rows(target: DataFrame, delta: DataFrame, keys: Sequence[str], order_col: str) -> DataFrame:
     """Target with the delta's newest row per key replacing or joining it."""
-    incoming = newest_rows(delta, keys, order_col)
+    return _replace(target, newest_rows(delta, keys, order_col), keys)
+
+
+def _replace(target: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The anti join lets Spark broadcast a small delta's keys and leave the target unshuffled."""
     untouched = target.join(incoming.select(*keys), list(keys), "left_anti")
     return untouched.unionByName(incoming)
 
@@ -48,36 +52,39 @@ def upsert_table(
     """Merges delta into the table at path and returns the rows written.
 
     Only partitions the delta touches are rewritten, so a key must keep its partition value. The
-    merged rows are first written whole to a fresh folder beside the table and then copied over, so
-    the table is never overwritten while it is being read, and running the same delta again, also
-    after a crash in between, gives the same table. With Delta the engine's own MERGE is used.
+    delta's newest rows and then the merged rows are first written to fresh folders beside the
+    table: the delta is computed once, and the table is never overwritten while it is being read.
+    Running the same delta again, also after a crash in between, gives the same table. With Delta
+    the engine's own MERGE is used.
     """
     spark = delta.sparkSession
     parts = [partition_by] if partition_by else []
+    incoming = newest_rows(delta, keys, order_col)
     if not table_exists(spark, path):
-        return write_table(newest_rows(delta, keys, order_col), path, "overwrite", parts, fmt)
+        return write_table(incoming, path, "overwrite", parts, fmt)
     if fmt == "delta":
-        return _delta_merge(delta, path, keys, order_col)
+        return _delta_merge(incoming, path, keys)
+    staging = f"{path.rstrip('/')}__staging_{uuid.uuid4().hex}"
+    write_table(incoming, f"{staging}/incoming", "errorifexists", [], fmt)
+    incoming = read_table(spark, f"{staging}/incoming", fmt)
     target = read_table(spark, path, fmt)
     if partition_by:
         # Partition values are directory names: few, and listed by the planner anyway.
-        touched = [r[0] for r in delta.select(partition_by).distinct().collect()]
-        named = [v for v in touched if v is not None]
-        hit = F.col(partition_by).isin(*named)
+        touched = [r[0] for r in incoming.select(partition_by).distinct().collect()]
+        hit = F.col(partition_by).isin([v for v in touched if v is not None])
         target = target.where(hit | F.col(partition_by).isNull() if None in touched else hit)
-    staging = f"{path.rstrip('/')}__staging_{uuid.uuid4().hex}"
-    write_table(merge_rows(target, delta.select(*target.columns), keys, order_col), staging, "errorifexists", [], fmt)
+    merged = _replace(target, incoming.select(*target.columns), keys)
+    write_table(merged, f"{staging}/merged", "errorifexists", [], fmt)
     return write_table(
-        read_table(spark, staging, fmt), path, "overwrite", parts, fmt, replace_partitions=bool(partition_by)
+        read_table(spark, f"{staging}/merged", fmt), path, "overwrite", parts, fmt, replace_partitions=bool(parts)
     )
 
 
-def _delta_merge(delta: DataFrame, path: str, keys: Sequence[str], order_col: str) -> int:
+def _delta_merge(incoming: DataFrame, path: str, keys: Sequence[str]) -> int:
     from delta.tables import DeltaTable  # optional package
 
-    incoming = newest_rows(delta, keys, order_col)
     on = " AND ".join(f"t.`{k}` <=> s.`{k}`" for k in keys)
-    merge = DeltaTable.forPath(delta.sparkSession, path).alias("t").merge(incoming.alias("s"), on)
+    merge = DeltaTable.forPath(incoming.sparkSession, path).alias("t").merge(incoming.alias("s"), on)
     merge.whenMatchedUpdateAll().whenNotMatchedInsertAll().execute()
     return incoming.count()
 
@@ -92,16 +99,17 @@ def _differs(columns: Sequence[str]) -> Column:
 def scd2(history: DataFrame | None, snapshot: DataFrame, key: str, check: Sequence[str], at: Column) -> DataFrame:
     """History after one more snapshot: changed keys get their open row closed and a new one opened.
 
-    A key missing from the snapshot keeps its open row. valid_to is NULL on open rows.
+    A key missing from the snapshot keeps its open row. valid_to is NULL on open rows. History is
+    read once: its closed rows match nothing and pass through.
     """
-    open_end = F.nullif(at, at)
-    fresh = snapshot.withColumns({"valid_from": at, "valid_to": open_end})
+    no_end = F.nullif(at, at)
+    fresh = snapshot.withColumns({"valid_from": at, "valid_to": no_end})
     if history is None:
         return fresh
-    closed = history.where(F.col("valid_to").isNotNull())
-    current = history.where(F.col("valid_to").isNull())
-    on = F.col(f"old.{key}").eqNullSafe(F.col(f"new.{key}"))
-    pair = current.alias("old").join(fresh.alias("new"), on, "full_outer")
+    same_key = F.col(f"old.{key}").eqNullSafe(F.col(f"new.{key}"))
+    pair = history.alias("old").join(
+        fresh.alias("new"), same_key & F.col("old.valid_to").isNull(), "full_outer"
+    )
     is_old, is_new = F.col("old.valid_from").isNotNull(), F.col("new.valid_from").isNotNull()
     changed = is_old & is_new & _differs(check)
 
@@ -109,7 +117,7 @@ def scd2(history: DataFrame | None, snapshot: DataFrame, key: str, check: Sequen
         values = [F.col(f"{side}.{c}").alias(c) for c in [*snapshot.columns, "valid_from"]]
         return F.when(present, F.struct(*values, end.alias("valid_to")))
 
-    kept = row("old", is_old, F.when(changed, F.col("new.valid_from")).otherwise(open_end))
-    opened = row("new", (is_new & ~is_old) | changed, open_end)
-    rows = pair.select(F.explode(F.filter(F.array(kept, opened), lambda r: r.isNotNull())).alias("r")).select("r.*")
-    return closed.select(*rows.columns).unionByName(rows)
+    kept = row("old", is_old, F.when(changed, F.col("new.valid_from")).otherwise(F.col("old.valid_to")))
+    opened = row("new", (is_new & ~is_old) | changed, no_end)
+    rows = F.filter(F.array(kept, opened), lambda r: r.isNotNull())
+    return pair.select(F.inline(rows))

@@ -7,6 +7,7 @@ from matchlake.functions import metrics as m
 from matchlake.operators import lines
 from matchlake.operators.ranking import page as page_of
 from matchlake.operators.ranking import top_k, with_ordinal
+from matchlake.sources.io import checkpointed
 
 
 def _in_season(df: DataFrame, season: int | None) -> DataFrame:
@@ -82,20 +83,31 @@ def recent_matches(matches: DataFrame, limit: int = 10) -> DataFrame:
     return top_k(matches, _newest(), limit)
 
 
-def team_stats(matches: DataFrame, name: str | None = None, season: int | None = None) -> DataFrame:
-    found = _in_season(matches, season)
-    agg = lines.sides(found)
-    if name is not None:
-        agg = agg.where(_named("team", name))
-    agg = agg.groupBy(F.col("team").alias("team_name")).agg(
-        F.count("*").alias("matches_played"),
-        m.count_where(F.col("winner") == F.col("team")).alias("wins"),
-        F.countDistinct("season").alias("seasons_played"),
+def _pairings(matches: DataFrame) -> DataFrame:
+    """Matches counted per season, pairing and winner: all any team record needs, in few rows."""
+    return matches.groupBy("season", "team1", "team2", "winner").agg(F.count("*").alias("n"))
+
+
+def _records(pairings: DataFrame) -> DataFrame:
+    either = F.explode(F.array("team1", "team2")).alias("team_name")
+    agg = (
+        pairings.select("season", "winner", "n", either)
+        .groupBy("team_name")
+        .agg(
+            F.sum("n").alias("matches_played"),
+            F.sum(F.when(F.col("winner") == F.col("team_name"), F.col("n")).otherwise(0)).alias("wins"),
+            F.countDistinct("season").alias("seasons_played"),
+        )
     )
     played, wins = F.col("matches_played"), F.col("wins")
     return agg.withColumns({"losses": played - wins, "win_percentage": m.percent(wins, played)})
 
 
+def team_stats(matches: DataFrame, name: str | None = None, season: int | None = None) -> DataFrame:
+    records = _records(_pairings(_in_season(matches, season)))
+    return records if name is None else records.where(_named("team_name", name))
+
+
 def team_rankings(matches: DataFrame, season: int | None = None) -> DataFrame:
     order = [F.col("win_percentage").desc(), F.col("team_name")]
     return with_ordinal(team_stats(matches, season=season), order, "rank")
@@ -114,7 +126,9 @@ def head_to_head(matches: DataFrame, team1: str, team2: str, match: str = "conta
         return _named(column, text) if match == "contains" else m.is_true(F.col(column) == text)
 
     fields = ("matches_played", "wins", "losses", "win_percentage", "seasons_played")
-    stats = team_stats(matches)
+    # The few pairing counts are stored once; both records and the meetings are read off them.
+    pairings = checkpointed(_pairings(matches))
+    stats = _records(pairings)
 
     def record(text: str) -> DataFrame:
         """One row, whatever the name matches."""
@@ -125,15 +139,16 @@ def head_to_head(matches: DataFrame, team1: str, team2: str, match: str = "conta
 
     either = lambda text: hit("team1", text) | hit("team2", text)
     sides = {1: record(team1), 2: record(team2)}
-    won = {n: m.count_where(F.col("winner") == F.col(f"_name{n}")) for n in sides}
+    won = {n: F.sum(F.when(F.col("winner") == F.col(f"_name{n}"), F.col("n"))) for n in sides}
     meetings = (
-        matches.where(either(team1) & either(team2))
+        pairings.where(either(team1) & either(team2))
         .withColumns({f"_name{n}": side.select("t.name").scalar() for n, side in sides.items()})
         .agg(
-            F.count("*").alias("meetings"),
+            F.sum("n").alias("meetings"),
             won[1].alias("head_to_head_team1_wins"),
             won[2].alias("head_to_head_team2_wins"),
         )
+        .na.fill(0)
         .withColumns({f"_t{n}": side.scalar() for n, side in sides.items()})
     )
     return meetings.select(

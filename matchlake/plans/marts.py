@@ -6,6 +6,7 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 from matchlake.operators import incremental, quality, serving, warehouse
 from matchlake.plans.base import cnt, query, r
 from matchlake.plans.lake import STG_MATCHES_SQL
+from matchlake.sources.io import checkpointed
 from matchlake.streaming import live
 
 DOT_ALL = cnt("runs_scored = 0 AND extras = 0")
@@ -278,9 +279,9 @@ def _(t):
             "team_name", "total_matches", "total_wins", "win_percentage"
         )
         at = F.lit(day).cast("timestamp_ntz")
-        history = incremental.scd2(
-            history, snapshot, "team_name", ["total_matches", "total_wins", "win_percentage"], at
-        )
+        check = ["total_matches", "total_wins", "win_percentage"]
+        # Between snapshots the history is a stored table.
+        history = checkpointed(incremental.scd2(history, snapshot, "team_name", check, at))
     return history
 
 

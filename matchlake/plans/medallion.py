@@ -24,8 +24,10 @@ class Lake:
     def read(self, spark: SparkSession, layer: str, name: str) -> DataFrame:
         return read_table(spark, self.path(layer, name), self.fmt)
 
-    def write(self, df: DataFrame, layer: str, name: str, partition_by: tuple[str, ...] = ()) -> int:
-        return write_table(df, self.path(layer, name), "overwrite", partition_by, self.fmt)
+    def write(
+        self, df: DataFrame, layer: str, name: str, partition_by: tuple[str, ...] = (), rebalance: bool = False
+    ) -> int:
+        return write_table(df, self.path(layer, name), "overwrite", partition_by, self.fmt, rebalance=rebalance)
 
 
 def build_silver(spark: SparkSession, lake: Lake) -> dict[str, int]:
@@ -47,7 +49,7 @@ def build_gold(spark: SparkSession, lake: Lake) -> dict[str, int]:
         "toss_analysis": (gold.toss_analysis(matches), ()),
         "powerplay_analysis": (gold.phase_analysis(balls), ("season",)),
     }
-    return {name: lake.write(df, "gold", name, parts) for name, (df, parts) in tables.items()}
+    return {name: lake.write(df, "gold", name, parts, rebalance=True) for name, (df, parts) in tables.items()}
 
 
 def _new_rows(spark: SparkSession, lake: Lake, source: DataFrame, fact: str) -> DataFrame:

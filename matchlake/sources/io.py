@@ -101,12 +101,16 @@ def write_table(
     fmt: str = "parquet",
     merge_schema: bool = False,
     replace_partitions: bool = False,
+    rebalance: bool = False,
 ) -> int:
     """Writes and returns the row count, observed during the write instead of counted again.
 
-    replace_partitions overwrites only the partitions present in df.
+    replace_partitions overwrites only the partitions present in df. rebalance shuffles rows to even
+    files per partition, for results whose tasks would each write a sliver into every partition.
     """
     seen = Observation()
+    if rebalance and partition_by:
+        df = df.hint("rebalance", *partition_by)
     writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.format(fmt).mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
