@@ -281,9 +281,20 @@ def declared_checks(tables: dict[str, DataFrame]) -> DataFrame:
     return _union(frames)
 
 
+def with_message(results: DataFrame) -> DataFrame:
+    """A readable line per failed check."""
+    share = F.round(F.try_divide((F.col("failures") * 100).cast("double"), F.col("total").cast("double")), 1)
+    place = F.concat_ws(".", "dataset", "field")
+    text = F.concat(
+        F.col("check"), F.lit(" "), place, F.lit(": "), F.col("failures").cast("string"), F.lit(" of "),
+        F.col("total").cast("string"), F.lit(" ("), F.coalesce(share, F.lit(100.0)).cast("string"), F.lit("%)"),
+    )
+    return results.withColumn("message", F.when(~F.col("passed"), text))
+
+
 def write_report(results: DataFrame, path: str) -> DataFrame:
     """Persists results as JSON and returns the one-row summary read back from them."""
-    results.withColumn("checked_at", F.current_timestamp()).write.mode("append").json(path)
+    with_message(results).withColumn("checked_at", F.current_timestamp()).write.mode("append").json(path)
     stored = results.sparkSession.read.schema(RESULT_DDL + ", checked_at timestamp").json(path)
     latest = stored.agg(F.max("checked_at")).scalar()
     return summary(stored.where(F.col("checked_at") == latest))

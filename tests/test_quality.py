@@ -107,5 +107,6 @@ def test_layers_report_and_gate(spark, raw_folder, tmp_path):
     assert first.overall_passed and first.total_failures == 0
     bad = quality.write_report(quality.raw_checks(tables | {"players": None}), report).first()
     assert not bad.overall_passed and bad.total_failures == 1
+    assert quality.with_message(missing).where("not passed").first().message == "layer_check umpires.files: 1 of 0 (100.0%)"
     lines = [json.loads(line) for f in (tmp_path / "report").glob("*.json") for line in f.read_text().splitlines()]
     assert {"check", "dataset", "field", "failures", "total", "passed", "checked_at"} <= set(lines[0])
