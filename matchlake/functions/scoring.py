@@ -99,6 +99,23 @@ def with_first_innings_probability(states: DataFrame) -> DataFrame:
     )
 
 
+def with_win_probability(states: DataFrame) -> DataFrame:
+    """Win probability for mixed states, told apart by the boolean is_chasing.
+
+    Rates, needs and balls are filled when chasing, the projected total otherwise.
+    """
+    sides = ("batting_win_probability", "bowling_win_probability")
+    chase = with_chase_probability(states).withColumnsRenamed({c: f"_chase_{c}" for c in sides})
+    both = with_first_innings_probability(chase)
+    chasing = m.is_true(F.col("is_chasing"))
+    only_chasing = ("required_rate", "current_rate", "runs_needed", "balls_remaining", "wickets_in_hand")
+    return both.withColumns(
+        {c: F.when(chasing, F.col(f"_chase_{c}")).otherwise(F.col(c)) for c in sides}
+        | {c: F.when(chasing, F.col(c)) for c in only_chasing}
+        | {"projected_total": F.when(~chasing, F.col("projected_total"))}
+    ).drop(*[f"_chase_{c}" for c in sides])
+
+
 def _if(condition: Column, points: int) -> Column:
     return F.when(m.is_true(condition), points).otherwise(0)
 

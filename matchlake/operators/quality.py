@@ -74,15 +74,22 @@ RELATIONSHIPS = {"fact_ball_events": (("match_id", "dim_match", "match_id"),)}
 BRONZE_DATASETS = ("matches", "ball_events", "players", "teams", "venues")
 
 
-def _results(df: DataFrame, check: str, dataset: str, counts: dict[str, Column]) -> DataFrame:
-    """One scan for any number of fields: aggregate wide, then one row per field."""
-    if not counts:
+# One counter of failing rows: (check, field, count).
+Counter = tuple[str, str, Column]
+
+
+def _results(df: DataFrame, dataset: str, counters: Sequence[Counter]) -> DataFrame:
+    """One scan for any number of checks and fields: aggregate wide, then one row per counter."""
+    if not counters:
         return df.sparkSession.createDataFrame([], RESULT_DDL)
-    names = list(counts)
-    wide = df.agg(F.count("*").alias("_total"), *[counts[n].cast("bigint").alias(f"_f{i}") for i, n in enumerate(names)])
-    rows = F.array(*[F.struct(F.lit(n).alias("field"), F.col(f"_f{i}").alias("failures")) for i, n in enumerate(names)])
-    return wide.select("_total", F.inline(rows)).select(
-        F.lit(check).alias("check"),
+    counts = [count.cast("bigint").alias(f"_f{i}") for i, (_, _, count) in enumerate(counters)]
+    wide = df.agg(F.count("*").alias("_total"), *counts)
+    rows = [
+        F.struct(F.lit(check).alias("check"), F.lit(field).alias("field"), F.col(f"_f{i}").alias("failures"))
+        for i, (check, field, _) in enumerate(counters)
+    ]
+    return wide.select("_total", F.inline(F.array(*rows))).select(
+        "check",
         F.lit(dataset).alias("dataset"),
         "field",
         "failures",
@@ -96,11 +103,15 @@ def _is_blank(df: DataFrame, column: str) -> Column:
     return empty | (F.col(column) == "") if dict(df.dtypes)[column] == "string" else empty
 
 
+def _null_counters(df: DataFrame, fields: Sequence[str]) -> list[Counter]:
+    return [("null_check", f, F.count_if(_is_blank(df, f))) for f in fields]
+
+
 def null_check(df: DataFrame, dataset: str, fields: Sequence[str]) -> DataFrame:
     """NULL or empty values per required field, with their percentage."""
-    counts = {f: F.count_if(_is_blank(df, f)) for f in fields}
     share = F.round(F.try_divide((F.col("failures") * 100).cast("double"), F.col("total").cast("double")), 1)
-    return _results(df, "null_check", dataset, counts).withColumn("failure_pct", F.coalesce(share, F.lit(0.0)))
+    counted = _results(df, dataset, _null_counters(df, fields))
+    return counted.withColumn("failure_pct", F.coalesce(share, F.lit(0.0)))
 
 
 def duplicate_check(df: DataFrame, dataset: str, key: str) -> DataFrame:
@@ -121,23 +132,23 @@ def duplicate_check(df: DataFrame, dataset: str, key: str) -> DataFrame:
     )
 
 
-def schema_check(df: DataFrame, dataset: str, expected: Sequence[str], numeric: Sequence[str]) -> DataFrame:
-    """Missing fields, and values of numeric fields that are not numbers, over all rows."""
+def _schema_counters(df: DataFrame, expected: Sequence[str], numeric: Sequence[str]) -> list[Counter]:
     present = set(df.columns)
-    counts = {f: F.lit(0) if f in present else F.count(F.lit(1)) for f in expected}
-    missing = {f for f in expected if f not in present}
-    typed = {}
+    # A missing field fails on every row, and once when there are none.
+    every_row = F.greatest(F.count(F.lit(1)), F.lit(1))
+    none = F.count_if(F.lit(False))
+    counters = [("schema_check", f, none if f in present else every_row) for f in expected]
     for f in numeric:
         if f in present:
             is_number = isinstance(df.schema[f].dataType, NumericType)
             bad = F.col(f).isNotNull() & F.col(f).try_cast("double").isNull()
-            typed[f] = F.lit(0) if is_number else F.count_if(bad)
-    structure = _results(df, "schema_check", dataset, counts).withColumn(
-        # A missing field fails even when the table has no rows.
-        "passed",
-        ~F.col("field").isin(*missing) if missing else F.lit(True),
-    )
-    return structure.unionByName(_results(df, "type_check", dataset, typed))
+            counters.append(("type_check", f, none if is_number else F.count_if(bad)))
+    return counters
+
+
+def schema_check(df: DataFrame, dataset: str, expected: Sequence[str], numeric: Sequence[str]) -> DataFrame:
+    """Missing fields, and values of numeric fields that are not numbers, over all rows."""
+    return _results(df, dataset, _schema_counters(df, expected, numeric))
 
 
 def freshness_check(
@@ -191,7 +202,7 @@ def layer_check(
 
 
 def not_null(df: DataFrame, dataset: str, columns: Sequence[str]) -> DataFrame:
-    return _results(df, "not_null", dataset, {c: F.count_if(F.col(c).isNull()) for c in columns})
+    return _results(df, dataset, [("not_null", c, F.count_if(F.col(c).isNull())) for c in columns])
 
 
 def unique_violations(df: DataFrame, column: str) -> DataFrame:
@@ -257,8 +268,9 @@ def raw_checks(tables: dict[str, DataFrame | None], max_age_hours: float | None
         if df is None:
             missing.append(name)
             continue
-        frames.append(null_check(df, name, [f for f in rules.required if f in df.columns]))
-        frames.append(schema_check(df, name, rules.expected, rules.numeric))
+        required = [f for f in rules.required if f in df.columns]
+        counters = _null_counters(df, required) + _schema_counters(df, rules.expected, rules.numeric)
+        frames.append(_results(df, name, counters))
         if rules.key:
             frames.append(duplicate_check(df, name, rules.key))
         if max_age_hours is not None and "_ingestion_timestamp" in df.columns:

@@ -6,6 +6,7 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 from matchlake.operators import incremental, quality, serving, warehouse
 from matchlake.plans.base import cnt, query, r
 from matchlake.plans.lake import STG_MATCHES_SQL
+from matchlake.sources.bronze import with_metadata
 from matchlake.sources.io import checkpointed
 from matchlake.streaming import live
 
@@ -33,6 +34,17 @@ BOWLING_STATS_SQL = f"""
   FROM balls GROUP BY season, match_id, bowler, bowling_team, innings"""
 
 
+@query(
+    "p1_bronze_metadata",
+    "player_id: bigint; player_name _source _batch_id: string; _ingestion_timestamp: timestamp_ntz; _ingestion_date: date",
+    """SELECT player_id, player_name, 'register' AS _source, '20240102_030405' AS _batch_id,
+         TIMESTAMP '2024-01-02 03:04:05' AS _ingestion_timestamp, DATE '2024-01-02' AS _ingestion_date FROM players""",
+)
+def _(t):
+    at = F.lit("2024-01-02 03:04:05").cast("timestamp")
+    return with_metadata(t.players, "register", "20240102_030405", at)
+
+
 @query(
     "w1_batting_stats",
     "season: int; match_id: bigint; player_name team: string; innings: int; "
@@ -515,6 +527,69 @@ def _(t):
     return quality.duplicate_check(t.live, "events", "match_id")
 
 
+@query(
+    "k3_schema_check",
+    RESULT,
+    """SELECT 'schema_check' AS "check", 'orders' AS dataset, unnest(['o_orderkey', 'o_orderdate', 'venue']) AS field,
+         unnest([0, 0, count(*)]) AS failures, count(*) AS total, unnest([TRUE, TRUE, FALSE]) AS passed FROM orders
+       UNION ALL
+       SELECT 'type_check', 'orders', unnest(['o_totalprice', 'o_orderpriority']),
+         unnest([0, count(*) FILTER (WHERE TRY_CAST(o_orderpriority AS DOUBLE) IS NULL)]), count(*),
+         unnest([TRUE, FALSE]) FROM orders""",
+)
+def _(t):
+    expected = ["o_orderkey", "o_orderdate", "venue"]
+    return quality.schema_check(t.source("orders"), "orders", expected, ["o_totalprice", "o_orderpriority"])
+
+
+@query(
+    "k4_freshness",
+    RESULT + "; age_hours: double",
+    f"""SELECT 'freshness_check' AS "check", 'events' AS dataset, 'event_time' AS field, 1 AS failures,
+          count(*) AS total, FALSE AS passed,
+          {r("(epoch_us(TIMESTAMP '2024-02-02') - epoch_us(max(ts))) / 1000000 / 3600")} AS age_hours FROM live""",
+)
+def _(t):
+    return quality.freshness_check(t.live, "events", 48, "event_time", F.lit("2024-02-02").cast("timestamp"))
+
+
+@query(
+    "k6_report",
+    RESULT,
+    "\nUNION ALL ".join(
+        [
+            f"""SELECT 'null_check' AS "check", '{d}' AS dataset, '{f}' AS field, count(*) - count({f}) AS failures,
+                  count(*) AS total, count(*) = count({f}) AS passed FROM {source}"""
+            for d, source, fields in (
+                ("matches", "matches", "match_id season team1 team2 winner venue date"),
+                ("players", "players", "player_id player_name nationality role"),
+                ("ball_events", "balls", "match_id innings over ball batsman bowler runs_scored"),
+            )
+            for f in fields.split()
+        ]
+        + [
+            f"""SELECT '{check}', '{d}', '{f}', 0, count(*), TRUE FROM {d}"""
+            for check, d, fields in (
+                (
+                    "schema_check",
+                    "matches",
+                    "match_id season date venue city team1 team2 winner toss_winner toss_decision innings1_runs "
+                    "innings2_runs",
+                ),
+                ("type_check", "matches", "season innings1_runs innings2_runs"),
+                ("duplicate_check", "matches", "match_id"),
+                ("schema_check", "players", "player_id player_name nationality batting_style bowling_style role"),
+                ("duplicate_check", "players", "player_id"),
+            )
+            for f in fields.split()
+        ]
+    ),
+)
+def _(t):
+    tables = {"matches": t.raw_matches, "players": t.players, "ball_events": t.balls}
+    return quality.raw_checks(tables, max_age_hours=None)
+
+
 @query(
     "k8_not_null",
     RESULT,
@@ -570,24 +645,37 @@ def _(t):
     return live.decode(raw, StructType([StructField("k", IntegerType())]))
 
 
-@query(
-    "t3_window_stats",
+WINDOW_COLUMNS = (
     "window_start window_end: timestamp_ntz; match_id: bigint; innings: int; batting_team: string; "
     "runs_in_window balls_in_window wickets_in_window fours sixes: bigint; current_total current_wickets: int; "
-    "current_run_rate: double",
-    f"""SELECT make_timestamp(start * 1000000) AS window_start, make_timestamp((start + 60) * 1000000) AS window_end,
+    "current_run_rate: double"
+)
+WINDOW_SQL = f"""
+  SELECT make_timestamp(start * 1000000) AS window_start, make_timestamp((start + 60) * 1000000) AS window_end,
           match_id, innings, batting_team, sum(runs_scored) AS runs_in_window, count(*) AS balls_in_window,
           {cnt("is_wicket")} AS wickets_in_window, {cnt("runs_scored = 4")} AS fours,
           {cnt("runs_scored = 6")} AS sixes, max(total_runs) AS current_total, max(total_wickets) AS current_wickets,
           max(run_rate) AS current_run_rate
         FROM (SELECT *, unnest([CAST(floor(epoch(ts) / 30) * 30 AS BIGINT),
                                 CAST(floor(epoch(ts) / 30) * 30 - 30 AS BIGINT)]) AS start FROM live)
-        GROUP BY start, match_id, innings, batting_team""",
-)
+        GROUP BY start, match_id, innings, batting_team"""
+
+
+@query("t3_window_stats", WINDOW_COLUMNS, WINDOW_SQL)
 def _(t):
     return live.window_stats(t.live, "event_time")
 
 
+@query("t5_window_upsert", WINDOW_COLUMNS, WINDOW_SQL)
+def _(t):
+    # A first batch saw the events up to mid-month, the next one all; upserting both gives the whole.
+    keys = ["window_start", *live.WINDOW_KEYS]
+    day = F.col("event_time") < F.lit("2024-01-15").cast("timestamp")
+    batches = [live.window_stats(events, "event_time") for events in (t.live.where(day), t.live)]
+    stored, arriving = (b.withColumn("_batch", F.lit(n)) for n, b in enumerate(batches))
+    return incremental.merge_rows(stored, arriving, keys, "_batch")
+
+
 @query(
     "t8_fan_out",
     "feed: string; match_id: bigint; innings total_wickets: int; detail: string",

@@ -162,6 +162,16 @@ def test_first_innings_projection(spark):
     assert rows[0].batting_win_probability == 0.5
 
 
+def test_mixed_states(spark):
+    rows = [(180, 100, 3, 12.0, True), (180, 60, 1, 6.0, False)]
+    states = spark.createDataFrame(rows, "target int, score int, wickets int, overs double, is_chasing boolean")
+    chase, first = scoring.with_win_probability(states).collect()
+    assert chase.batting_win_probability == pytest.approx(expected_chase(180, 100, 3, 12.0), abs=6e-5)
+    assert chase.projected_total is None and chase.balls_remaining == 48
+    assert (first.projected_total, first.runs_needed) == (208, None)
+    assert first.batting_win_probability == pytest.approx(0.5 + (60 + 140 * 1.15 * 0.92 - 165) * 0.008 - 0.03, abs=6e-5)
+
+
 FANTASY = "runs int, balls_faced int, fours int, sixes int, wickets int, overs_bowled double, runs_conceded int, catches int, run_outs int"
 
 
