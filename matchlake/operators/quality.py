@@ -99,6 +99,8 @@ def _results(df: DataFrame, dataset: str, counters: Sequence[Counter]) -> DataFr
 
 
 def _is_blank(df: DataFrame, column: str) -> Column:
+    if column not in df.columns:
+        return F.lit(True)
     empty = F.col(column).isNull()
     return empty | (F.col(column) == "") if dict(df.dtypes)[column] == "string" else empty
 
@@ -268,8 +270,7 @@ def raw_checks(tables: dict[str, DataFrame | None], max_age_hours: float | None
         if df is None:
             missing.append(name)
             continue
-        required = [f for f in rules.required if f in df.columns]
-        counters = _null_counters(df, required) + _schema_counters(df, rules.expected, rules.numeric)
+        counters = _null_counters(df, rules.required) + _schema_counters(df, rules.expected, rules.numeric)
         frames.append(_results(df, name, counters))
         if rules.key:
             frames.append(duplicate_check(df, name, rules.key))

@@ -230,3 +230,25 @@ def test_write_returns_rows(spark, tmp_path):
     assert write_table(spark.range(7).withColumn("p", F.col("id") % 2), path, partition_by=["p"]) == 7
     assert write_table(spark.range(2).withColumn("p", F.lit(1)), path, partition_by=["p"], replace_partitions=True) == 2
     assert read_table(spark, path).groupBy("p").count().orderBy("p").collect() == [(0, 4), (1, 2)]
+
+
+def test_empty_writes_and_deltas(spark, tmp_path):
+    path = str(tmp_path / "t")
+    empty = spark.createDataFrame([], DELTA)
+    assert write_table(empty, path, partition_by=["season"]) == 0
+    path = str(tmp_path / "u")
+    incremental.upsert_table(spark.createDataFrame([("a", 1, 1, 1)], DELTA), path, ["k"], "at", "season")
+    assert incremental.upsert_table(empty, path, ["k"], "at", "season") == 0
+    assert incremental.upsert_table(spark.range(5).where("id > 9").selectExpr("string(id) k", "int(id) season", "int(id) v", "int(id) at"), path, ["k"], "at", "season") == 0
+    assert read_table(spark, path).count() == 1
+
+
+def test_wins_and_undecided_make_all_matches(spark):
+    from matchlake.plans.base import Tables
+
+    from .conftest import TESTDATA
+
+    matches = Tables(spark, f"{TESTDATA}/sf0.001").matches
+    wins = serving.team_stats(matches).agg(F.sum("wins")).first()[0]
+    undecided = matches.where(F.col("winner").isNull()).count()
+    assert wins + undecided == matches.count()

@@ -25,6 +25,8 @@ def test_null_check(make_matches):
     winner = one(out, field="winner")
     assert (winner.failures, winner.total, winner.passed, winner.failure_pct) == (2, 4, False, 50.0)
     assert one(out, field="season").failures == 1 and one(out, field="venue").passed
+    gone = quality.null_check(make_matches(rows).drop("venue"), "matches", ["venue"]).first()
+    assert (gone.failures, gone.passed) == (4, False)
     empty = quality.null_check(make_matches([]), "matches", ["winner"]).first()
     assert (empty.failures, empty.passed, empty.failure_pct) == (0, True, 0.0)
 

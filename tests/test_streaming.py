@@ -80,6 +80,21 @@ def test_window_stream_equals_batch_and_restart_changes_nothing(spark, feed, tmp
     assert run() == rows(live.window_stats(live.decode(feed.batch())))
 
 
+def test_windows_in_an_off_heap_state_store(spark, feed, tmp_path):
+    feed.put(event(0, 5, 4), event(1, 40, 6))
+    feed.put(event(2, 41, 0, True))
+    for key, value in live.STATE_STORE_CONF.items():
+        spark.conf.set(key, value)
+    try:
+        out = str(tmp_path / "stats")
+        finish(live.stats_sink(live.window_stats(live.decode(feed.stream())), out, str(tmp_path / "cp")))
+    finally:
+        for key in live.STATE_STORE_CONF:
+            spark.conf.unset(key)
+    expected = live.window_stats(live.decode(feed.batch()))
+    assert rows(stats_columns(spark.read.parquet(out)).select(*expected.columns)) == rows(expected)
+
+
 def test_late_events_are_dropped(spark, feed, tmp_path):
     feed.put(event(0, 0, 1))
     feed.put(event(1, 600, 2))
