@@ -36,9 +36,14 @@ def _replace(target: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> Dat
     return untouched.unionByName(incoming)
 
 
+def _folder(spark: SparkSession, path: str):
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
+    folder, storage = _folder(spark, path)
+    return storage.exists(folder)
 
 
 def upsert_table(
@@ -54,8 +59,8 @@ def upsert_table(
     Only partitions the delta touches are rewritten, so a key must keep its partition value. The
     delta's newest rows and then the merged rows are first written to fresh folders beside the
     table: the delta is computed once, and the table is never overwritten while it is being read.
-    Running the same delta again, also after a crash in between, gives the same table. With Delta
-    the engine's own MERGE is used.
+    The folders are removed at the end. Running the same delta again, also after a crash in
+    between, gives the same table. With Delta the engine's own MERGE is used.
     """
     spark = delta.sparkSession
     parts = [partition_by] if partition_by else []
@@ -75,9 +80,12 @@ def upsert_table(
         target = target.where(hit | F.col(partition_by).isNull() if None in touched else hit)
     merged = _replace(target, incoming.select(*target.columns), keys)
     write_table(merged, f"{staging}/merged", "errorifexists", [], fmt)
-    return write_table(
+    rows = write_table(
         read_table(spark, f"{staging}/merged", fmt), path, "overwrite", parts, fmt, replace_partitions=bool(parts)
     )
+    folder, storage = _folder(spark, staging)
+    storage.delete(folder, True)
+    return rows
 
 
 def _delta_merge(incoming: DataFrame, path: str, keys: Sequence[str]) -> int:

@@ -35,17 +35,22 @@ def with_ordinal(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame
     return numbered.select((F.col("_start") + F.col("_at") + 1).alias(name), *df.columns)
 
 
-def page(df: DataFrame, order: Sequence[Column], page: int = 1, per_page: int = 20) -> DataFrame:
-    """One page in order. The total is `df.count()`, a separate cheap aggregate."""
-    if page < 1 or not 1 <= per_page <= 100:
-        raise ValueError("page starts at 1 and per_page is 1 to 100")
-    skip = (page - 1) * per_page
+def page(df: DataFrame, order: Sequence[Column], number: int = 1, per_page: int = 20) -> DataFrame:
+    """One page in order; `order` must end in a unique column."""
+    if number < 1 or not 1 <= per_page <= 100:
+        raise ValueError("pages start at 1 and hold 1 to 100 rows")
+    skip = (number - 1) * per_page
     if skip + per_page <= SORTED_PAGE_ROWS:
         return df.orderBy(*order).offset(skip).limit(per_page)
     numbered = with_ordinal(df, order, "_row")
     return numbered.where(F.col("_row").between(skip + 1, skip + per_page)).drop("_row")
 
 
+def page_with_total(df: DataFrame, order: Sequence[Column], number: int = 1, per_page: int = 20) -> DataFrame:
+    """One page, each row with the number of rows over all pages."""
+    return page(df, order, number, per_page).withColumn("total", df.agg(F.count("*")).scalar())
+
+
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int = 1) -> DataFrame:
     """Last n rows per key. The rank filter is applied before the shuffle too, so a hot key sends
     at most n rows per task."""

@@ -5,8 +5,7 @@ from pyspark.sql import functions as F
 
 from matchlake.functions import metrics as m
 from matchlake.operators import lines
-from matchlake.operators.ranking import page as page_of
-from matchlake.operators.ranking import top_k, with_ordinal
+from matchlake.operators.ranking import page_with_total, top_k, with_ordinal
 from matchlake.sources.io import checkpointed
 
 
@@ -54,8 +53,9 @@ def get_players(
     sort_by: str = "total_runs",
     role: str | None = None,
 ) -> DataFrame:
+    """A page of players and the total over all pages."""
     stats = player_stats(players, balls, role=role)
-    return page_of(stats, [F.col(sort_by).desc(), F.col("player_id")], page, per_page)
+    return page_with_total(stats, [F.col(sort_by).desc(), F.col("player_id")], page, per_page)
 
 
 def _named(column: str, text: str) -> Column:
@@ -70,7 +70,8 @@ def filter_matches(matches: DataFrame, season: int | None = None, team: str | No
 def get_matches(
     matches: DataFrame, page: int = 1, per_page: int = 20, season: int | None = None, team: str | None = None
 ) -> DataFrame:
-    return page_of(filter_matches(matches, season, team), _newest(), page, per_page)
+    """A page of matches, newest first, and the total over all pages."""
+    return page_with_total(filter_matches(matches, season, team), _newest(), page, per_page)
 
 
 def _newest() -> list[Column]:

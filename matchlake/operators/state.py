@@ -6,21 +6,27 @@ from pyspark.sql import functions as F
 from matchlake.functions import metrics as m
 from matchlake.functions import scoring
 
-CELL = ["match_id", "innings", "over"]
+# Deliveries of an innings are ordered by these; ball_id makes the order unique.
+ORDER = ("over", "ball", "ball_id")
 
 
 def ball_runs() -> Column:
     return F.col("runs_scored") + F.coalesce(F.col("extras"), F.lit(0))
 
 
-def running_state(balls: DataFrame) -> DataFrame:
+def running_state(balls: DataFrame, split: int = 1) -> DataFrame:
     """Adds running totals per innings: total_runs, total_wickets, legal_balls and the chase target.
 
     A running window over a whole innings would put a match, however large, into one task. Totals
     are therefore taken in two levels: each over is summed first (combined before its shuffle), the
     few over totals of a match give every over its opening score, and only the deliveries of one
-    over are walked in order. Deliveries are ordered by (over, ball, ball_id), which is unique.
+    over are walked in order. split=2 cuts at each ball of an over instead, for feeds that repeat
+    single overs without bound.
     """
+    if split not in (1, 2):
+        raise ValueError("an innings is split by over (1) or by over and ball (2)")
+    cut, rest = ORDER[:split], ORDER[split:]
+    cell = ["match_id", "innings", *cut]
     counted = balls.withColumns(
         {
             "_r": ball_runs().cast("bigint"),
@@ -28,19 +34,19 @@ def running_state(balls: DataFrame) -> DataFrame:
             "_l": m.is_legal().cast("bigint"),
         }
     )
-    over_totals = counted.groupBy(*CELL).agg(*[F.sum(c).alias(c) for c in ("_r", "_w", "_l")])
-    before = Window.partitionBy("match_id", "innings").orderBy("over").rowsBetween(Window.unboundedPreceding, -1)
-    opening = over_totals.select(
-        *CELL,
+    totals = counted.groupBy(*cell).agg(*[F.sum(c).alias(c) for c in ("_r", "_w", "_l")])
+    before = Window.partitionBy("match_id", "innings").orderBy(*cut).rowsBetween(Window.unboundedPreceding, -1)
+    opening = totals.select(
+        *cell,
         *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"{c}0") for c in ("_r", "_w", "_l")],
         F.coalesce(
             F.sum(F.when(F.col("innings") == 1, F.col("_r"))).over(Window.partitionBy("match_id")),
             F.lit(0),
         ).alias("_first_innings"),
     )
-    upto = Window.partitionBy(*CELL).orderBy("ball", "ball_id").rowsBetween(Window.unboundedPreceding, 0)
+    upto = Window.partitionBy(*cell).orderBy(*rest).rowsBetween(Window.unboundedPreceding, 0)
     running = lambda c: F.sum(c).over(upto) + F.col(f"{c}0")
-    return counted.join(opening, CELL).select(
+    return counted.join(opening, cell).select(
         *balls.columns,
         running("_r").alias("total_runs"),
         running("_w").alias("total_wickets"),

@@ -324,8 +324,9 @@ def career(season: str = "TRUE") -> str:
 
 @query(
     "r1_player_listing",
-    CAREER_COLUMNS,
-    f"SELECT * FROM ({career()}) WHERE lower(role) = 'bowler' ORDER BY total_runs DESC, player_id LIMIT 20",
+    CAREER_COLUMNS + "; total: bigint",
+    f"""SELECT *, count(*) OVER () AS total FROM ({career()}) WHERE lower(role) = 'bowler'
+        ORDER BY total_runs DESC, player_id LIMIT 20""",
 )
 def _(t):
     return serving.get_players(t.players, t.balls, sort_by="total_runs", role="BOWLER")
@@ -333,8 +334,8 @@ def _(t):
 
 @query(
     "r2_second_page",
-    CAREER_COLUMNS,
-    f"SELECT * FROM ({career()}) ORDER BY batting_average DESC, player_id LIMIT 15 OFFSET 15",
+    CAREER_COLUMNS + "; total: bigint",
+    f"SELECT *, count(*) OVER () AS total FROM ({career()}) ORDER BY batting_average DESC, player_id LIMIT 15 OFFSET 15",
 )
 def _(t):
     return serving.get_players(t.players, t.balls, page=2, per_page=15, sort_by="batting_average")
@@ -345,8 +346,8 @@ MATCH_ROW = "match_id: bigint; season: int; date: date; team1 team2 winner margi
 
 @query(
     "r3_match_listing",
-    MATCH_ROW,
-    """SELECT * FROM matches WHERE season = 1997 AND ('T3' IN (team1, team2))
+    MATCH_ROW + "; total: bigint",
+    """SELECT *, count(*) OVER () AS total FROM matches WHERE season = 1997 AND ('T3' IN (team1, team2))
        ORDER BY date DESC, match_id LIMIT 20""",
 )
 def _(t):

@@ -30,6 +30,16 @@ def spark(tmp_path_factory):
     session.stop()
 
 
+@pytest.fixture()
+def no_broadcast(spark):
+    """Plans as they are when no side is small."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    yield
+    spark.conf.set(key, before)
+
+
 BALL_DDL = (
     "ball_id string, match_id string, season int, innings int, over int, ball int, batting_team string, "
     "bowling_team string, batsman string, non_striker string, bowler string, runs_scored int, extras int, "

@@ -86,6 +86,7 @@ def test_upsert_is_idempotent_and_rewrites_only_touched_partitions(spark, tmp_pa
         incremental.upsert_table(delta, path, ["k"], "at", "season")
         rows = read_table(spark, path).select("k", "season", "v").collect()
         assert sorted((r.k, r.season or 0, r.v) for r in rows) == [("a", 1, 1), ("b", 2, 3), ("c", 2, 4), ("x", 0, 8)]
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
     after = {p.name: p.stat().st_mtime_ns for p in (tmp_path / "t" / "season=1").glob("*.parquet")}
     assert after == untouched
 

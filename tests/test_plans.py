@@ -2,8 +2,6 @@
 
 import re
 
-import pytest
-
 from matchlake.operators import gold, silver, state
 from matchlake.plans import registry
 from matchlake.plans.base import Tables
@@ -18,28 +16,6 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.fixture()
-def no_broadcast(spark):
-    """Plans as they are when no side is small."""
-    key = "spark.sql.autoBroadcastJoinThreshold"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "-1")
-    yield
-    spark.conf.set(key, before)
-
-
-@pytest.mark.parametrize("name", sorted(registry()))
-def test_no_cross_join_no_python_no_global_window(spark, no_broadcast, name):
-    text = plan(registry()[name].run(spark, SF))
-    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
-        assert bad not in text
-    for spec in re.findall(r"windowspecdefinition\(([^)]*)", text):
-        # The only unpartitioned window sums one count per partition of a checkpointed table.
-        assert spec.startswith("_part#") or re.match(r"\w+#\d+L?,", spec), spec
-    if "Window [" in text and name not in ("w4_dim_team", "w5_dim_venue", "r13_team_rankings"):
-        assert not re.search(r"Window \[[^\n]*\n[^\n]*(Sort[^\n]*\n[^\n]*)?Exchange SinglePartition", text)
-
-
 def test_only_needed_columns_are_read(spark):
     text = plan(gold.phase_analysis(Tables(spark, SF).balls))
     scans = re.findall(r"FileScan parquet \[([^\]]*)\]", text)

@@ -43,11 +43,12 @@ def brute_force(rows):
     return out
 
 
-def test_running_state_equals_brute_force_with_a_hot_match(make_balls):
+@pytest.mark.parametrize("split", [1, 2])
+def test_running_state_equals_brute_force_with_a_hot_match(make_balls, split):
     """One match holds half of all rows, some matches have a single innings."""
     rows = random_match("HOT", 3000, 1) + [b for i in range(30) for b in random_match(f"M{i}", 100, i)]
     rows += [ball("X1", 4, match="ONLY2", innings=2), ball("X2", 4, match="ONLY1", innings=1)]
-    got = state.running_state(make_balls(rows).repartition(7))
+    got = state.running_state(make_balls(rows).repartition(7), split)
     values = {r.ball_id: (r.total_runs, r.total_wickets, r.legal_balls, r.target) for r in got.collect()}
     assert values == brute_force(rows)
     last = got.groupBy("match_id", "innings").agg(F.max("total_runs").alias("n"))
