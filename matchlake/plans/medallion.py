@@ -24,18 +24,20 @@ class Lake:
     def read(self, spark: SparkSession, layer: str, name: str) -> DataFrame:
         return read_table(spark, self.path(layer, name), self.fmt)
 
-    def write(
-        self, df: DataFrame, layer: str, name: str, partition_by: tuple[str, ...] = (), rebalance: bool = False
-    ) -> int:
-        return write_table(df, self.path(layer, name), "overwrite", partition_by, self.fmt, rebalance=rebalance)
+    def write(self, df: DataFrame, layer: str, name: str, partition_by: tuple[str, ...] = (), **layout) -> int:
+        return write_table(df, self.path(layer, name), "overwrite", partition_by, self.fmt, **layout)
 
 
 def build_silver(spark: SparkSession, lake: Lake) -> dict[str, int]:
-    tables = {
-        "matches": silver.silver_matches(lake.read(spark, "bronze", "matches")),
-        "ball_events": silver.silver_balls(lake.read(spark, "bronze", "ball_events")),
+    """Deliveries are stored clustered by match, because nearly every reader groups by it."""
+    matches = silver.silver_matches(lake.read(spark, "bronze", "matches"))
+    balls = silver.silver_balls(lake.read(spark, "bronze", "ball_events"))
+    return {
+        "matches": lake.write(matches, "silver", "matches", ("season",)),
+        "ball_events": lake.write(
+            balls, "silver", "ball_events", ("season",), cluster_by=("match_id", "innings", "over")
+        ),
     }
-    return {name: lake.write(df, "silver", name, ("season",)) for name, df in tables.items()}
 
 
 def build_gold(spark: SparkSession, lake: Lake) -> dict[str, int]:

@@ -102,14 +102,21 @@ def write_table(
     merge_schema: bool = False,
     replace_partitions: bool = False,
     rebalance: bool = False,
+    cluster_by: Sequence[str] = (),
 ) -> int:
     """Writes and returns the row count, observed during the write instead of counted again.
 
     replace_partitions overwrites only the partitions present in df. rebalance shuffles rows to even
     files per partition, for results whose tasks would each write a sliver into every partition.
+    cluster_by does so by those columns and sorts by them: rows of a key lie together, so later
+    partial aggregates by the key come out nearly complete and files can be skipped by it. A key
+    larger than a file is still split over several.
     """
     seen = Observation()
-    if rebalance and partition_by:
+    if cluster_by:
+        layout = [*partition_by, *cluster_by]
+        df = df.hint("rebalance", *partition_by, cluster_by[0]).sortWithinPartitions(*layout)
+    elif rebalance and partition_by:
         df = df.hint("rebalance", *partition_by)
     writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.format(fmt).mode(mode)
     if partition_by:

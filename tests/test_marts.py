@@ -233,6 +233,15 @@ def test_write_returns_rows(spark, tmp_path):
     assert read_table(spark, path).groupBy("p").count().orderBy("p").collect() == [(0, 4), (1, 2)]
 
 
+def test_clustered_writes_keep_a_key_together(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.range(2000).selectExpr("id % 3 AS season", "id % 40 AS k", "id").repartition(9)
+    assert write_table(df, path, partition_by=["season"], cluster_by=["k", "id"]) == 2000
+    back = read_table(spark, path).withColumn("file", F.col("_metadata.file_path"))
+    assert back.count() == 2000
+    assert back.groupBy("season", "k").agg(F.countDistinct("file").alias("n")).where("n > 1").count() == 0
+
+
 def test_empty_writes_and_deltas(spark, tmp_path):
     path = str(tmp_path / "t")
     empty = spark.createDataFrame([], DELTA)
