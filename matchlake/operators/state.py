@@ -45,13 +45,15 @@ def running_state(balls: DataFrame, split: int = 1) -> DataFrame:
         ).alias("_first_innings"),
     )
     upto = Window.partitionBy(*cell).orderBy(*rest).rowsBetween(Window.unboundedPreceding, 0)
-    running = lambda c: F.sum(c).over(upto) + F.col(f"{c}0")
-    return counted.join(opening, cell).select(
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0))
+    running = lambda c: F.sum(c).over(upto) + zero(f"{c}0")
+    # A left join keeps deliveries whose over is unknown; they sort first, so they open from zero.
+    return counted.join(opening, cell, "left").select(
         *balls.columns,
         running("_r").alias("total_runs"),
         running("_w").alias("total_wickets"),
         running("_l").alias("legal_balls"),
-        F.when(F.col("innings") == 2, F.col("_first_innings") + 1).alias("target"),
+        F.when(F.col("innings") == 2, zero("_first_innings") + 1).alias("target"),
     )
 
 

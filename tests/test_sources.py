@@ -133,3 +133,22 @@ def test_failed_gate_stops_the_run(spark, raw_folder, tmp_path):
 
     with pytest.raises(QualityGateError, match="dim_match.match_id"):
         gate(medallion.warehouse_checks(spark, lake))
+
+
+def test_a_cluster_without_checkpoint_folder_is_refused():
+    class Stub:
+        master = "spark://cluster:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def get(self, key, default):
+            return default
+
+    class Frame:
+        class sparkSession:
+            sparkContext = Stub()
+            conf = Stub()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        io.checkpointed(Frame())

@@ -79,6 +79,14 @@ def test_rates_and_labels(make_balls):
     assert got["B2"].runs_needed == 0
 
 
+def test_deliveries_with_unknown_over_are_kept(make_balls):
+    rows = [ball("B0", 4), ball("B1", 2), ball("B2", 6)]
+    rows[1] = (*rows[1][:4], None, *rows[1][5:])
+    got = {r.ball_id: r.total_runs for r in state.running_state(make_balls(rows)).collect()}
+    # Unknown overs sort first, as in a plain window over the innings.
+    assert got == {"B1": 2, "B0": 6, "B2": 12}
+
+
 def test_all_out_ends_an_innings(make_balls):
     rows = [ball(f"B{i}", 0, over=i // 6, ball=i % 6, out=True) for i in range(10)]
     labels = state.with_match_state(state.running_state(make_balls(rows))).orderBy("ball_id").collect()
