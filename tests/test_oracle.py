@@ -57,4 +57,6 @@ def test_entry_point(spark):
     import __spark_entry__ as entry
 
     assert entry.entry(spark).count() > 0
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    names = set(registry())
+    assert names <= set(entry.queries())
+    assert names <= set(entry.oracle_sql()) <= set(entry.queries())
