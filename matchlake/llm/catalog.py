@@ -1,9 +1,10 @@
 """Queries of the text operators, and SQL for those that SQL can express."""
 
-from matchlake.llm import quality_rules
+from matchlake.llm import quality_rules, simhash
 
 QUERIES = {
     "op3_quality_rules": quality_rules.query,
+    "op7_simhash": simhash.query,
 }
 
 ORACLES = {
