@@ -1,10 +1,12 @@
 """Queries of the text operators, and SQL for those that SQL can express."""
 
-from matchlake.llm import quality_rules, simhash
+from matchlake.llm import mixing, quality_rules, resharding, simhash
 
 QUERIES = {
+    "op1_mixing": mixing.query,
     "op3_quality_rules": quality_rules.query,
     "op7_simhash": simhash.query,
+    "op9_resharding": resharding.query,
 }
 
 ORACLES = {
