@@ -1,10 +1,11 @@
 """Queries of the text operators, and SQL for those that SQL can express."""
 
-from matchlake.llm import mixing, quality_rules, resharding, simhash, url_rules
+from matchlake.llm import decontamination, mixing, quality_rules, resharding, simhash, url_rules
 
 QUERIES = {
     "op1_mixing": mixing.query,
     "op3_quality_rules": quality_rules.query,
+    "op5_decontamination": decontamination.query,
     "op7_simhash": simhash.query,
     "op8_url_rules": url_rules.query,
     "op9_resharding": resharding.query,
