@@ -1,11 +1,12 @@
 """Queries of the text operators, and SQL for those that SQL can express."""
 
-from matchlake.llm import compression_quality, decontamination, mixing, quality_rules, resharding, simhash, url_rules
+from matchlake.llm import compression_quality, decontamination, mixing, quality_rules, resharding, simhash, toxicity, url_rules
 
 QUERIES = {
     "op1_mixing": mixing.query,
     "op2_compression_quality": compression_quality.query,
     "op3_quality_rules": quality_rules.query,
+    "op4_toxicity": toxicity.query,
     "op5_decontamination": decontamination.query,
     "op7_simhash": simhash.query,
     "op8_url_rules": url_rules.query,
