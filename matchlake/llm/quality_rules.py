@@ -146,8 +146,11 @@ def judge(
     )
 
 
-def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", **limits):
-    """The documents that are kept, without their frequent lines, in their own columns."""
+def clean(
+    docs: DataFrame, id_col="doc_id", text_col="text", host_col="source", length_col: str | None = None, **limits
+) -> DataFrame:
+    """The documents that are kept, without their frequent lines, in their own columns. length_col, if it
+    is named, is the text's number of characters and follows the text."""
     verdict = judge(docs, id_col, text_col, host_col, **limits).where("kept")
     verdict = verdict.groupBy("doc_id", "host", "text_key").agg(F.first("removed_keys").alias("removed_keys"))
     doc = F.col("doc")
@@ -165,7 +168,11 @@ def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_
     )
     text = F.when(F.size("removed_keys") > 0, F.array_join(left, "\n")).otherwise(text)
     kept = join_rows(packed, verdict, ["doc_id", "host", "text_key"])
-    return kept.select(*[(text if c == text_col else doc[c]).alias(c) for c in docs.columns])
+    changed = {text_col: text}
+    if length_col:
+        length = F.when(F.size("removed_keys") > 0, F.length(text).cast(docs.schema[length_col].dataType))
+        changed[length_col] = length.otherwise(doc[length_col])
+    return kept.select(*[changed.get(c, doc[c]).alias(c) for c in docs.columns])
 
 
 def query(spark, sf_dir):
