@@ -1,6 +1,6 @@
 """Queries of the text operators, and SQL for those that SQL can express."""
 
-from matchlake.llm import compression_quality, decontamination, mixing, quality_rules, resharding, simhash, toxicity, url_rules
+from matchlake.llm import compression_quality, decontamination, mixing, quality_rules, resharding, simhash, suffix_dedup, toxicity, url_rules
 
 QUERIES = {
     "op1_mixing": mixing.query,
@@ -11,6 +11,7 @@ QUERIES = {
     "op7_simhash": simhash.query,
     "op8_url_rules": url_rules.query,
     "op9_resharding": resharding.query,
+    "op10_suffix_dedup": suffix_dedup.query,
 }
 
 ORACLES = {
