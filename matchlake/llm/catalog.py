@@ -1,6 +1,6 @@
 """Queries of the text operators, and SQL for those that SQL can express."""
 
-from matchlake.llm import compression_quality, decontamination, mixing, quality_rules, resharding, simhash, suffix_dedup, toxicity, url_rules
+from matchlake.llm import attention_lm, compression_quality, decontamination, mixing, quality_rules, resharding, simhash, suffix_dedup, toxicity, url_rules
 
 QUERIES = {
     "op1_mixing": mixing.query,
@@ -8,6 +8,7 @@ QUERIES = {
     "op3_quality_rules": quality_rules.query,
     "op4_toxicity": toxicity.query,
     "op5_decontamination": decontamination.query,
+    "op6_attention_lm": attention_lm.query,
     "op7_simhash": simhash.query,
     "op8_url_rules": url_rules.query,
     "op9_resharding": resharding.query,
