@@ -90,7 +90,10 @@ class BKTree:
 
 
 def tree_links(values: list[int], radius: int) -> list[tuple[int, int]]:
-    """Links (a, b), a > b, that join the values' classes: each value to the smallest of its class."""
+    """Links (a, b), a > b, that join the values' classes: each value to the smallest of its class.
+
+    The values are signed 64-bit numbers; the tree counts bits of the unsigned ones.
+    """
     tree, parent = BKTree(), {}
 
     def root(v: int) -> int:
@@ -100,8 +103,8 @@ def tree_links(values: list[int], radius: int) -> list[tuple[int, int]]:
         return v
 
     for value in values:
-        for other in tree.add_and_find(value, radius):
-            a, b = root(value), root(other)
+        for other in tree.add_and_find(value % (1 << 64), radius):
+            a, b = root(value), root(other - (1 << 64) if other >> 63 else other)
             if a != b:
                 parent[max(a, b)] = min(a, b)
     return [(v, r) for v in list(parent) if (r := root(v)) != v]
