@@ -44,7 +44,8 @@ TOXIC_LEAN = 2.5
 # Marks of a text: name, least number and share of its words that hold a toxic entry.
 MARKS = (("#2", 2, 0.0), ("#3", 3, 0.0), ("#2%", 1, 0.02), ("#4%", 1, 0.04))
 LEXICONS = 3
-CORRELATED = 0.25
+# Correlation of votes from which voters share a factor: overall, and within the classes.
+COPIED, CORRELATED = 0.8, 0.25
 EDGE = re.compile(r"^\W+|\W+$")
 PATTERNS = (
     re.compile(r"(?:\b[A-Z]{3,}\b\W+){3}"),
@@ -144,11 +145,16 @@ class LabelModel:
     def __init__(self, prior: float):
         self.prior = prior
 
-    def fit(self, v: np.ndarray, start: np.ndarray, rounds: int = 30) -> np.ndarray:
-        groups = [[k] for k in range(v.shape[1])]
-        post = self._em(v, groups, start, rounds)
-        groups = self._correlated(v, post)
-        return self._em(v, groups, post, rounds)
+    def fit(self, v: np.ndarray, rounds: int = 30) -> np.ndarray:
+        """Posterior of the class. Voters that nearly copy each other have one voice from the start; those
+        still correlated within the classes are joined after the first fit."""
+        groups = self.correlated(v, [np.ones(len(v))], COPIED)
+        voice = np.zeros(len(v))
+        for group in groups:
+            for_, against = ((v[:, group] == value).sum(1) for value in (2, 1))
+            voice += (for_ - against) / np.maximum(for_ + against, 1)
+        post = self._em(v, groups, sigmoid(voice), rounds)
+        return self._em(v, self.correlated(v, [post, 1 - post], CORRELATED, groups), post, rounds)
 
     def _em(self, v: np.ndarray, groups: list[list[int]], post: np.ndarray, rounds: int) -> np.ndarray:
         joint = []
@@ -172,10 +178,10 @@ class LabelModel:
         return post
 
     @staticmethod
-    def _correlated(v: np.ndarray, post: np.ndarray) -> list[list[int]]:
-        """Groups of voters whose votes are correlated within a class."""
+    def correlated(v: np.ndarray, weights: list[np.ndarray], least: float, joined=()) -> list[list[int]]:
+        """Groups of voters whose votes are correlated under any of the weights, and those joined before."""
         m = v.shape[1]
-        active = (v > 0).astype(float)
+        sides = (v == 2).astype(float) - (v == 1)
         parent = list(range(m))
 
         def root(k: int) -> int:
@@ -183,16 +189,18 @@ class LabelModel:
                 k = parent[k]
             return k
 
-        weak = np.zeros((m, m))
-        for weight in (post, 1 - post):
+        for group in joined:
+            for k in group[1:]:
+                parent[root(k)] = root(group[0])
+        most = np.zeros((m, m))
+        for weight in weights:
             total = weight.sum() + 1e-9
-            mean = (weight[:, None] * active).sum(0) / total
-            x = active - mean
+            x = sides - (weight[:, None] * sides).sum(0) / total
             cov = (x * weight[:, None]).T @ x / total
             sd = np.sqrt(np.clip(np.diag(cov), 1e-9, None))
-            weak = np.maximum(weak, np.abs(cov / np.outer(sd, sd)) * (total > 20))
+            most = np.maximum(most, np.abs(cov / np.outer(sd, sd)) * (total > 20))
         for a, b in combinations(range(m), 2):
-            if weak[a, b] > CORRELATED:
+            if most[a, b] > least:
                 parent[root(b)] = root(a)
         groups: dict[int, list[int]] = {}
         for k in range(m):
@@ -271,9 +279,7 @@ def fit(sample: DataFrame, base_rate: float) -> dict | float:
     lexicons = voters(words) + [(1, {known[mark]}) for mark, _, _ in MARKS]
     v = votes(held, hits, lexicons)
     prior = shares[1] / len(rows)
-    # The first guess of the hidden class: any lexicon for.
-    start = sigmoid(2.0 * ((v == 2).sum(1) > 0) - 1.0)
-    post = LabelModel(prior).fit(v, start)
+    post = LabelModel(prior).fit(v)
     bias, weights = linear([sorted(x) for x in held], post, len(names))
     # The sample holds the classes in other shares than the corpus.
     shift = np.log(base_rate / (1 - base_rate)) - np.log(prior / (1 - prior))

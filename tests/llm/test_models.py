@@ -54,9 +54,9 @@ def test_label_model_counts_copies_once():
     votes = [np.where(noisy, 2, 1)] * 10
     votes += [np.where(np.where(rng.random(4000) < 0.85, truth, ~truth), 2, 1) for _ in range(3)]
     v = np.stack(votes, axis=1)
-    post = toxicity.LabelModel(0.3).fit(v, (v == 2).mean(1))
+    post = toxicity.LabelModel(0.3).fit(v)
     assert ((post > 0.5) == truth).mean() > 0.88
-    assert any(len(g) >= 10 for g in toxicity.LabelModel._correlated(v, post))
+    assert any(len(g) >= 10 for g in toxicity.LabelModel.correlated(v, [np.ones(len(v))], 0.8))
 
 
 def test_gradients():
