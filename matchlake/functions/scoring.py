@@ -23,7 +23,8 @@ def in_domain(target="target", score="score", wickets="wickets", overs="overs")
 
 def quarantine(states: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Splits match states into scoreable and out-of-domain rows."""
-    return states.where(in_domain()), states.where(~in_domain())
+    good = F.coalesce(in_domain(), F.lit(False))
+    return states.where(good), states.where(~good)
 
 
 def with_chase_probability(states: DataFrame) -> DataFrame:

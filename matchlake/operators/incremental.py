@@ -1,12 +1,12 @@
 """Incremental merge and slowly-changing history over DataFrames and partitioned tables."""
 
-import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from matchlake.sources.io import read_table, write_table
+from matchlake.sources import versions
+from matchlake.sources.io import write_table
 
 
 def newer_than(source: DataFrame, target: DataFrame, high_water: str = "_loaded_at") -> DataFrame:
@@ -36,14 +36,9 @@ def _replace(target: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> Dat
     return untouched.unionByName(incoming)
 
 
-def _folder(spark: SparkSession, path: str):
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return folder, folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
 def table_exists(spark: SparkSession, path: str) -> bool:
-    folder, storage = _folder(spark, path)
-    return storage.exists(folder)
+    """Whether a version of the table has been committed."""
+    return versions.current(spark, path) is not None or versions.exists(spark, f"{path}/_delta_log")
 
 
 def upsert_table(
@@ -53,39 +48,48 @@ def upsert_table(
     order_col: str,
     partition_by: str | None = None,
     fmt: str = "parquet",
+    keep_newer: bool = True,
 ) -> int:
-    """Merges delta into the table at path and returns the rows written.
-
-    Only partitions the delta touches are rewritten, so a key must keep its partition value. The
-    delta's newest rows and then the merged rows are first written to fresh folders beside the
-    table: the delta is computed once, and the table is never overwritten while it is being read.
-    The folders are removed at the end. Running the same delta again, also after a crash in
-    between, gives the same table. With Delta the engine's own MERGE is used.
+    """Merges delta into the versioned table at path and returns the rows written.
+
+    The delta's newest row per key is written once. With keep_newer a key whose row in the table has a larger
+    order_col keeps that row.
+    Rewritten are the partitions of the delta and those that now hold one of its keys, so a key may move; the
+    others are taken over as they are. The new version is visible as a whole or not at all: a run that dies
+    anywhere leaves the version before, and running the same delta again gives the same table. An empty delta makes
+    an empty table, or leaves the one there is. With Delta the engine's own MERGE is used.
     """
     spark = delta.sparkSession
-    parts = [partition_by] if partition_by else []
     incoming = newest_rows(delta, keys, order_col)
-    if not table_exists(spark, path):
-        return write_table(incoming, path, "overwrite", parts, fmt)
     if fmt == "delta":
+        if not table_exists(spark, path):
+            return write_table(incoming, path, "overwrite", [partition_by] if partition_by else [], fmt)
         return _delta_merge(incoming, path, keys)
-    staging = f"{path.rstrip('/')}__staging_{uuid.uuid4().hex}"
-    write_table(incoming, f"{staging}/incoming", "errorifexists", [], fmt)
-    incoming = read_table(spark, f"{staging}/incoming", fmt)
-    target = read_table(spark, path, fmt)
-    if partition_by:
-        # Partition values are directory names: few, and listed by the planner anyway.
-        touched = [r[0] for r in incoming.select(partition_by).distinct().collect()]
-        hit = F.col(partition_by).isin([v for v in touched if v is not None])
-        target = target.where(hit | F.col(partition_by).isNull() if None in touched else hit)
-    merged = _replace(target, incoming.select(*target.columns), keys)
-    write_table(merged, f"{staging}/merged", "errorifexists", [], fmt)
-    rows = write_table(
-        read_table(spark, f"{staging}/merged", fmt), path, "overwrite", parts, fmt, replace_partitions=bool(parts)
-    )
-    folder, storage = _folder(spark, staging)
-    storage.delete(folder, True)
-    return rows
+    before = versions.current(spark, path)
+    if before is None:
+        seen = Observation()
+        folders = versions.write_files(incoming.observe(seen, F.count(F.lit(1)).alias("rows")), path, partition_by)
+        versions.commit(spark, path, incoming.schema, folders)
+        return int(seen.get["rows"])
+    target = versions.read(spark, path, before)
+    staged = versions.write_files(incoming.select(*target.columns), path, None)
+    incoming = versions.read(spark, path, before | {"folders": staged})
+    if keep_newer:
+        same = [F.col(f"old.{k}") == F.col(f"new.{k}") for k in keys]
+        newer = F.col(f"old.{order_col}") > F.col(f"new.{order_col}")
+        incoming = incoming.alias("new").join(target.alias("old"), [*same, newer], "left_anti")
+    # Partitions are folders of the manifest, so their names are few enough to list.
+    part = versions.part_of(partition_by).alias("part")
+    homes = target.join(incoming.select(*keys), list(keys), "left_semi").select(part).union(incoming.select(part))
+    touched = {r[0] for r in homes.distinct().collect()}
+    if not touched:
+        return 0
+    merged = _replace(versions.read(spark, path, before, touched), incoming.select(*target.columns), keys)
+    seen = Observation()
+    written = versions.write_files(merged.observe(seen, F.count(F.lit(1)).alias("rows")), path, partition_by)
+    kept = {name: folder for name, folder in before["folders"].items() if name not in touched}
+    versions.commit(spark, path, target.schema, kept | written)
+    return int(seen.get["rows"])
 
 
 def _delta_merge(incoming: DataFrame, path: str, keys: Sequence[str]) -> int:
@@ -94,7 +98,8 @@ def _delta_merge(incoming: DataFrame, path: str, keys: Sequence[str]) -> int:
     on = " AND ".join(f"t.`{k}` <=> s.`{k}`" for k in keys)
     merge = DeltaTable.forPath(incoming.sparkSession, path).alias("t").merge(incoming.alias("s"), on)
     merge.whenMatchedUpdateAll().whenNotMatchedInsertAll().execute()
-    return incoming.count()
+    last = DeltaTable.forPath(incoming.sparkSession, path).history(1).select("operationMetrics.numOutputRows").first()
+    return int(last[0] or 0)
 
 
 def _differs(columns: Sequence[str]) -> Column:

@@ -5,8 +5,7 @@ from pyspark.sql import functions as F
 
 from matchlake.functions import metrics as m
 from matchlake.operators import lines
-from matchlake.operators.ranking import page_with_total, top_k, with_ordinal
-from matchlake.sources.io import checkpointed
+from matchlake.operators.ranking import page_with_total, top_k, total, with_ordinal
 
 
 def _in_season(df: DataFrame, season: int | None) -> DataFrame:
@@ -55,7 +54,14 @@ def get_players(
 ) -> DataFrame:
     """A page of players and the total over all pages."""
     stats = player_stats(players, balls, role=role)
-    return page_with_total(stats, [F.col(sort_by).desc(), F.col("player_id")], page, per_page)
+    text = dict(stats.dtypes)[sort_by] == "string"
+    bucket = F.left(sort_by, F.lit(3)) if text else F.floor(F.col(sort_by))
+    return page_with_total(stats, [F.col(sort_by).desc(), F.col("player_id")], bucket, True, page, per_page)
+
+
+def count_players(players: DataFrame, balls: DataFrame, role: str | None = None) -> DataFrame:
+    """The total of get_players as one row, whatever the page."""
+    return total(player_stats(players, balls, role=role))
 
 
 def _named(column: str, text: str) -> Column:
@@ -71,7 +77,12 @@ def get_matches(
     matches: DataFrame, page: int = 1, per_page: int = 20, season: int | None = None, team: str | None = None
 ) -> DataFrame:
     """A page of matches, newest first, and the total over all pages."""
-    return page_with_total(filter_matches(matches, season, team), _newest(), page, per_page)
+    return page_with_total(filter_matches(matches, season, team), _newest(), F.col("date"), True, page, per_page)
+
+
+def count_matches(matches: DataFrame, season: int | None = None, team: str | None = None) -> DataFrame:
+    """The total of get_matches as one row, whatever the page."""
+    return total(filter_matches(matches, season, team))
 
 
 def _newest() -> list[Column]:
@@ -111,7 +122,7 @@ def team_stats(matches: DataFrame, name: str | None = None, season: int | None =
 
 def team_rankings(matches: DataFrame, season: int | None = None) -> DataFrame:
     order = [F.col("win_percentage").desc(), F.col("team_name")]
-    return with_ordinal(team_stats(matches, season=season), order, "rank")
+    return with_ordinal(team_stats(matches, season=season), order, "rank", F.col("win_percentage"), descending=True)
 
 
 def head_to_head(matches: DataFrame, team1: str, team2: str, match: str = "contains") -> DataFrame:
@@ -127,8 +138,8 @@ def head_to_head(matches: DataFrame, team1: str, team2: str, match: str = "conta
         return _named(column, text) if match == "contains" else m.is_true(F.col(column) == text)
 
     fields = ("matches_played", "wins", "losses", "win_percentage", "seasons_played")
-    # The few pairing counts are stored once; both records and the meetings are read off them.
-    pairings = checkpointed(_pairings(matches))
+    # Both records and the meetings are read off the same few counts, whose exchange Spark reuses.
+    pairings = _pairings(matches)
     stats = _records(pairings)
 
     def record(text: str) -> DataFrame:

@@ -61,9 +61,23 @@ def ball_columns(raw: DataFrame) -> DataFrame:
     )
 
 
-def silver_balls(raw: DataFrame) -> DataFrame:
+def silver_balls(raw: DataFrame, streamed: DataFrame | None = None) -> DataFrame:
+    """Deliveries, the newest load of each; those of the stream are added where the batch has none."""
+    if "_ingestion_timestamp" in raw.columns:
+        raw = newest_balls(raw)
+    if streamed is not None:
+        late = streamed.join(raw.select("ball_id").distinct(), "ball_id", "left_anti")
+        raw = raw.unionByName(late, allowMissingColumns=True)
     return _processed(ball_columns(raw))
 
 
+def newest_balls(raw: DataFrame) -> DataFrame:
+    """Deliveries without the older loads of a ball that was loaded again with other values. Rows of one load stay
+    as they are, also those without an id."""
+    last = raw.where(F.col("ball_id").isNotNull()).groupBy("ball_id").agg(F.max("_ingestion_timestamp").alias("_last"))
+    older = raw.join(last, "ball_id", "left").where(F.col("_last").isNull() | (F.col("_ingestion_timestamp") == F.col("_last")))
+    return older.select(*raw.columns)
+
+
 def _processed(df: DataFrame) -> DataFrame:
     return df.drop(*METADATA_COLUMNS).withColumn("_processed_timestamp", F.current_timestamp())

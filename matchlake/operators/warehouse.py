@@ -151,7 +151,7 @@ def team_record(stg_matches: DataFrame) -> DataFrame:
 
 
 def dim_team(stg_matches: DataFrame) -> DataFrame:
-    return with_ordinal(team_record(stg_matches), [F.col("team_name")], "team_id")
+    return with_ordinal(team_record(stg_matches), [F.col("team_name")], "team_id", F.left("team_name", F.lit(3)))
 
 
 def dim_venue(stg_matches: DataFrame, country: str = "India") -> DataFrame:
@@ -174,7 +174,7 @@ def dim_venue(stg_matches: DataFrame, country: str = "India") -> DataFrame:
         F.col("first_season").alias("first_match_season"),
         F.col("last_season").alias("last_match_season"),
     )
-    return with_ordinal(venues, [F.col("venue_name"), F.col("city")], "venue_id")
+    return with_ordinal(venues, [F.col("venue_name"), F.col("city")], "venue_id", F.left("venue_name", F.lit(3)))
 
 
 def dim_match(stg_matches: DataFrame) -> DataFrame:

@@ -6,18 +6,30 @@ from matchlake.functions import metrics as m
 from matchlake.functions import scoring
 from matchlake.operators import gold, lines, silver, state
 from matchlake.plans.base import Tables, cnt, query, r
+from matchlake.sources.io import read_parquet
 
 DOT = cnt("runs_scored = 0")
 
 
 @query(
     "s2_parquet_scan",
+    "l_orderkey l_partkey l_suppkey: bigint; l_linenumber: int; l_quantity l_extendedprice l_discount l_tax: double; "
+    "l_returnflag l_linestatus: string; l_shipdate: timestamp_ntz",
+    "SELECT * FROM lineitem",
+)
+def _(t: Tables):
+    return read_parquet(t.spark, f"{t.sf_dir}/lineitem.parquet")
+
+
+@query(
+    "s2_filtered_scan",
     "l_orderkey: bigint; l_quantity: double; l_shipdate: timestamp_ntz",
     "SELECT l_orderkey, l_quantity, l_shipdate FROM lineitem WHERE l_shipdate >= TIMESTAMP '2001-01-01'",
 )
 def _(t: Tables):
     recent = F.col("l_shipdate") >= F.lit("2001-01-01").cast("timestamp_ntz")
-    return t.source("lineitem").where(recent).select("l_orderkey", "l_quantity", "l_shipdate")
+    table = read_parquet(t.spark, f"{t.sf_dir}/lineitem.parquet")
+    return table.where(recent).select("l_orderkey", "l_quantity", "l_shipdate")
 
 
 SILVER_MATCHES = (
@@ -30,7 +42,7 @@ SILVER_MATCHES = (
 
 @query(
     "p4_silver_matches",
-    SILVER_MATCHES,
+    SILVER_MATCHES + "; toss_winner toss_decision: string",
     "SELECT *, total_runs > 350 AS is_high_scoring, toss_winner_won AS toss_winner_is_match_winner FROM matches",
 )
 def _(t):
@@ -293,7 +305,7 @@ STATE_SQL = f"""
 
 @query(
     "e1_running_totals",
-    "ball_id: string; match_id: bigint; innings over ball: int; total_runs total_wickets: bigint",
+    "ball_id: string; match_id: bigint; innings over ball: int; total_runs total_wickets legal_balls target: bigint",
     STATE_SQL,
 )
 def _(t):
@@ -308,12 +320,13 @@ def _(t):
 @query(
     "e3_chase_state",
     "ball_id: string; target runs_needed: bigint; balls_remaining: int; required_rate: double",
-    f"""SELECT *, CASE WHEN balls_remaining > 0 THEN {r("6 * runs_needed / balls_remaining")}
+    f"""SELECT * REPLACE (CASE WHEN target IS NOT NULL THEN runs_needed END AS runs_needed),
+          CASE WHEN balls_remaining > 0 THEN {r("6 * runs_needed / balls_remaining")}
           WHEN balls_remaining = 0 THEN CAST(runs_needed * 10 AS DOUBLE) END AS required_rate
-        FROM ({STATE_SQL}) WHERE innings = 2""",
+        FROM ({STATE_SQL})""",
 )
 def _(t):
-    return state.with_chase(state.running_state(t.lines)).where(F.col("target").isNotNull())
+    return state.with_chase(state.running_state(t.lines))
 
 
 @query(
@@ -428,6 +441,27 @@ def _(t):
     return t.raw_matches.withColumn("batting_first", m.batting_first())
 
 
+def _chases(t: Tables):
+    return t.matches.select(
+        "match_id",
+        (F.col("innings1_runs") + 1).alias("target"),
+        F.col("innings2_runs").alias("score"),
+        F.col("innings2_wickets").alias("wickets"),
+        F.col("innings2_overs").alias("overs"),
+    )
+
+
+@query(
+    "m1_rejected_states",
+    "match_id: bigint; target score wickets: int; overs: double",
+    """SELECT * FROM (SELECT match_id, innings1_runs + 1 AS target, innings2_runs AS score, innings2_wickets AS wickets,
+           innings2_overs AS overs FROM matches)
+       WHERE NOT coalesce(target > 0 AND score >= 0 AND wickets BETWEEN 0 AND 10 AND overs BETWEEN 0 AND 20, false)""",
+)
+def _(t):
+    return scoring.quarantine(_chases(t))[1]
+
+
 @query(
     "m1_chase_probability",
     "match_id: bigint; " + CHASE_COLUMNS,
@@ -437,14 +471,7 @@ def _(t):
     ),
 )
 def _(t):
-    states = t.matches.select(
-        "match_id",
-        (F.col("innings1_runs") + 1).alias("target"),
-        F.col("innings2_runs").alias("score"),
-        F.col("innings2_wickets").alias("wickets"),
-        F.col("innings2_overs").alias("overs"),
-    )
-    return scoring.with_chase_probability(scoring.quarantine(states)[0])
+    return scoring.with_chase_probability(scoring.quarantine(_chases(t))[0])
 
 
 @query(
@@ -526,15 +553,16 @@ def _(t):
     "ball_id: string; pressure_index required_rate wicket_pressure rate_pressure: double; assessment: string",
     f"""SELECT ball_id, {r("idx", 1)} AS pressure_index, {r("rr")} AS required_rate,
           {r("wp * 100", 1)} AS wicket_pressure, {r("rp * 100", 1)} AS rate_pressure,
-          CASE WHEN idx > 80 THEN 'extreme' WHEN idx > 60 THEN 'high' WHEN idx > 40 THEN 'moderate' ELSE 'low' END
+          CASE WHEN idx > 80 THEN 'extreme' WHEN idx > 60 THEN 'high' WHEN idx > 40 THEN 'moderate'
+            WHEN idx IS NOT NULL THEN 'low' END
             AS assessment
         FROM (
           SELECT *, (rp * 4e-1 + wp * 35e-2 + (1 - balls_remaining / 120) * 25e-2) * 100 AS idx
           FROM (
             SELECT *, (10 - total_wickets) AS wih, (10 - (10 - total_wickets)) / 10 AS wp, least(rr / 12, 1e0) AS rp
             FROM (SELECT *, CASE WHEN balls_remaining > 0 THEN runs_needed / balls_remaining * 6 ELSE 999e0 END AS rr
-                  FROM ({STATE_SQL}) WHERE innings = 2)))""",
+                  FROM ({STATE_SQL}))))""",
 )
 def _(t):
-    chase = state.with_chase(state.running_state(t.lines)).where(F.col("target").isNotNull())
+    chase = state.with_chase(state.running_state(t.lines))
     return scoring.with_pressure(chase.withColumn("wickets_in_hand", F.lit(10) - F.col("total_wickets")))

@@ -7,7 +7,6 @@ from matchlake.operators import incremental, quality, serving, warehouse
 from matchlake.plans.base import cnt, query, r
 from matchlake.plans.lake import STG_MATCHES_SQL
 from matchlake.sources.bronze import with_metadata
-from matchlake.sources.io import checkpointed
 from matchlake.streaming import live
 
 DOT_ALL = cnt("runs_scored = 0 AND extras = 0")
@@ -292,8 +291,7 @@ def _(t):
         )
         at = F.lit(day).cast("timestamp_ntz")
         check = ["total_matches", "total_wins", "win_percentage"]
-        # Between snapshots the history is a stored table.
-        history = checkpointed(incremental.scd2(history, snapshot, "team_name", check, at))
+        history = incremental.scd2(history, snapshot, "team_name", check, at)
     return history
 
 
@@ -344,6 +342,17 @@ def _(t):
 MATCH_ROW = "match_id: bigint; season: int; date: date; team1 team2 winner margin venue: string"
 
 
+@query(
+    "r2_page_past_end",
+    "total rows_on_page: bigint",
+    f"SELECT count(*) AS total, CAST(0 AS BIGINT) AS rows_on_page FROM ({career()})",
+)
+def _(t):
+    beyond = serving.get_players(t.players, t.balls, page=1_000_000)
+    on_page = beyond.agg(F.count("*")).scalar()
+    return serving.count_players(t.players, t.balls).withColumn("rows_on_page", on_page)
+
+
 @query(
     "r3_match_listing",
     MATCH_ROW + "; total: bigint",
@@ -625,6 +634,17 @@ def _(t):
     return quality.orphans(t.lines, "match_id", t.live, "match_id")
 
 
+@query(
+    "k10_relationship_check",
+    "check dataset field: string; failures total: bigint; passed: boolean",
+    """SELECT 'relationships' AS "check", 'deliveries' AS dataset, 'match_id' AS field, count(*) FILTER (WHERE lost) AS failures,
+         count(*) AS total, count(*) FILTER (WHERE lost) = 0 AS passed
+       FROM (SELECT match_id NOT IN (SELECT match_id FROM live) AS lost FROM lines)""",
+)
+def _(t):
+    return quality.relationships(t.lines, "deliveries", "match_id", t.live, "match_id")
+
+
 @query(
     "k11_positive_value",
     "invalid_value: int; occurrences: bigint",

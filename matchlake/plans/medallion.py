@@ -3,12 +3,14 @@
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from matchlake.operators import gold, quality, silver, staging, warehouse
-from matchlake.operators.incremental import newer_than, table_exists, upsert_table
-from matchlake.operators.joins import spread_join
-from matchlake.sources.bronze import ingest_all, new_batch_id
+from matchlake.operators.incremental import newer_than, scd2, table_exists, upsert_table
+from matchlake.sources import versions
+from matchlake.sources.bronze import Loaded, ingest_all, new_batch_id
 from matchlake.sources.io import read_table, write_table
+from matchlake.streaming.live import as_ball_events
 
 
 @dataclass(frozen=True)
@@ -28,10 +30,17 @@ class Lake:
         return write_table(df, self.path(layer, name), "overwrite", partition_by, self.fmt, **layout)
 
 
+def streamed_balls(spark: SparkSession, lake: Lake) -> DataFrame | None:
+    """Deliveries that came by stream, which has a folder of its own."""
+    if not versions.exists(spark, lake.path("stream", "ball_events")):
+        return None
+    return as_ball_events(lake.read(spark, "stream", "ball_events"))
+
+
 def build_silver(spark: SparkSession, lake: Lake) -> dict[str, int]:
     """Deliveries are stored clustered by match, because nearly every reader groups by it."""
     matches = silver.silver_matches(lake.read(spark, "bronze", "matches"))
-    balls = silver.silver_balls(lake.read(spark, "bronze", "ball_events"))
+    balls = silver.silver_balls(lake.read(spark, "bronze", "ball_events"), streamed_balls(spark, lake))
     return {
         "matches": lake.write(matches, "silver", "matches", ("season",)),
         "ball_events": lake.write(
@@ -60,12 +69,23 @@ def _new_rows(spark: SparkSession, lake: Lake, source: DataFrame, fact: str) ->
     return newer_than(source, lake.read(spark, "warehouse", fact))
 
 
+def store_team_history(spark: SparkSession, lake: Lake, matches: DataFrame) -> int:
+    """Adds today's team records to the stored history as a new version, and returns the rows of the history."""
+    path, check = lake.path("warehouse", "scd_team_stats"), ["total_matches", "total_wins", "win_percentage"]
+    stored = versions.read(spark, path) if versions.current(spark, path) else None
+    snapshot = warehouse.team_record(matches).select("team_name", *check)
+    history = scd2(stored, snapshot, "team_name", check, F.current_timestamp())
+    folders = versions.write_files(history, path, None)
+    versions.commit(spark, path, history.schema, folders)
+    return versions.read(spark, path).count()
+
+
 def build_warehouse(spark: SparkSession, lake: Lake) -> dict[str, int]:
     """Dimensions are rebuilt; facts take only rows loaded since their last run, merged by key."""
     raw = {n: lake.read(spark, "bronze", n) for n in ("matches", "ball_events", "players")}
     matches = staging.stg_matches(silver.dedupe_latest(raw["matches"]))
-    balls = staging.stg_ball_events(raw["ball_events"])
-    players = staging.stg_players(raw["players"])
+    balls = staging.stg_ball_events(silver.newest_balls(raw["ball_events"]))
+    players = staging.stg_players(silver.dedupe_latest(raw["players"], "player_id"))
     dims = {
         "dim_player": warehouse.dim_player(players, balls),
         "dim_team": warehouse.dim_team(matches),
@@ -78,12 +98,14 @@ def build_warehouse(spark: SparkSession, lake: Lake) -> dict[str, int]:
         path = lake.path("warehouse", name)
         rows[name] = upsert_table(delta, path, keys, "_loaded_at", "season", lake.fmt)
 
+    rows["scd_team_stats"] = store_team_history(spark, lake, matches)
     merge("fact_ball_events", warehouse.fact_ball_events(_new_rows(spark, lake, balls, "fact_ball_events")), ["ball_id"])
+    # A match's summary and a player's line need all deliveries of the match, and of no other match.
     new_matches = _new_rows(spark, lake, matches, "fact_match_summary")
-    merge("fact_match_summary", warehouse.fact_match_summary(new_matches, balls), ["match_id"])
-    # A player's match line needs all deliveries of that match, not only the new ones.
+    own = balls.join(new_matches.select("match_id").distinct(), "match_id", "left_semi")
+    merge("fact_match_summary", warehouse.fact_match_summary(new_matches, own), ["match_id"])
     touched = _new_rows(spark, lake, balls, "fact_player_performance").select("match_id").distinct()
-    affected = spread_join(balls, touched, ["match_id"], ["innings", "over_number"], "left_semi")
+    affected = balls.join(touched, "match_id", "left_semi")
     merge("fact_player_performance", warehouse.fact_player_performance(affected), ["match_id", "player_name"])
     return rows
 
@@ -93,20 +115,43 @@ def warehouse_checks(spark: SparkSession, lake: Lake) -> DataFrame:
     return quality.declared_checks({n: lake.read(spark, "warehouse", n) for n in names})
 
 
+def raw_checks(spark: SparkSession, lake: Lake, batch_id: str, loads: dict[str, Loaded]) -> DataFrame:
+    """Null, duplicate, schema and parse checks of what this run loaded, and the declared tests of the staged tables."""
+    tables = {n: lake.read(spark, "bronze", n) for n in quality.RAW_RULES}
+    batch = {n: df.where(F.col("_batch_id") == batch_id) for n, df in tables.items()}
+    parsed = quality.parse_checks(spark, {n: (x.rejected, x.read + x.rejected) for n, x in loads.items()})
+    staged = quality.declared_checks(
+        {
+            "stg_matches": staging.stg_matches(silver.dedupe_latest(tables["matches"])),
+            "stg_ball_events": staging.stg_ball_events(silver.newest_balls(tables["ball_events"])),
+            "stg_players": staging.stg_players(silver.dedupe_latest(tables["players"], "player_id")),
+        }
+    )
+    return quality.raw_checks(batch, max_age_hours=None).unionByName(staged).unionByName(parsed)
+
+
 def run(
-    spark: SparkSession, raw_path: str, lake: Lake, batch_id: str | None = None, lines: bool = False
-) -> dict[str, dict[str, int]]:
-    """Every layer in order. A failed gate raises before the next layer is touched."""
+    spark: SparkSession, raw_path: str, lake: Lake, batch_id: str | None = None, lines: bool = True
+) -> dict[str, dict]:
+    """Every layer in order. A failed gate raises before the next layer is touched; the results of its checks are in
+    the report all the same. Records that cannot be read are quarantined, counted and reported, and do not stop it."""
     batch_id = batch_id or new_batch_id()
-    counts = {"bronze": ingest_all(spark, raw_path, f"{lake.root}/bronze", batch_id, lines, lake.fmt)}
+    report = f"{lake.root}/reports/quality"
+    loads = ingest_all(spark, raw_path, f"{lake.root}/bronze", batch_id, lines, lake.fmt)
+    counts: dict[str, dict] = {"bronze": {n: x.new for n, x in loads.items()}}
+    counts["rejected"] = {n: x.rejected for n, x in loads.items()}
     quality.gate(quality.layer_check(spark, f"{lake.root}/bronze", fmt=lake.fmt))
+    checks = raw_checks(spark, lake, batch_id, loads)
+    quality.write_report(checks, report)
+    quality.gate(checks.where(F.col("check") != "parse_check"))
     counts["silver"] = build_silver(spark, lake)
     counts["gold"] = build_gold(spark, lake)
     counts["warehouse"] = build_warehouse(spark, lake)
-    quality.gate(warehouse_checks(spark, lake))
+    checks = warehouse_checks(spark, lake)
+    quality.write_report(checks, report)
+    quality.gate(checks)
     return counts
 
 
 def bronze_tables(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
     return {n: lake.read(spark, "bronze", n) for n in quality.RAW_RULES}
-

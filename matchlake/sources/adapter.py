@@ -8,9 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchlake.functions import metrics as m
-from matchlake.operators.joins import spread_join
 from matchlake.operators.state import match_results
-from matchlake.sources.io import spread_small
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,7 +66,7 @@ def ball_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     wicket = (F.col("l_returnflag") == "R") & code.isin(0, 3)
     extra = (F.col("l_returnflag") == "A") & (F.col("l_linenumber") % 3 == 0)
     kinds = F.array(*[F.lit(k) for k in ("bowled", "caught", "lbw", "run out", "stumped")])
-    return spread_small(table(spark, sf_dir, "lineitem"), "l_orderkey").select(
+    return table(spark, sf_dir, "lineitem").select(
         F.concat_ws(
             "-",
             "l_orderkey",
@@ -106,7 +104,7 @@ def balls(spark: SparkSession, sf_dir: str) -> DataFrame:
         "_ingestion_timestamp",
     )
     first = F.col("innings") == 1
-    joined = spread_join(ball_lines(spark, sf_dir), header, ["match_id"], ["innings", "over"]).withColumns(
+    joined = ball_lines(spark, sf_dir).join(header, "match_id").withColumns(
         {
             "batting_team": F.when(first, F.col("first_batting")).otherwise(F.col("second_batting")),
             "bowling_team": F.when(first, F.col("second_batting")).otherwise(F.col("first_batting")),

@@ -1,14 +1,17 @@
 """Raw JSON to bronze tables with ingestion metadata."""
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import UTC, datetime
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from matchlake import schemas
-from matchlake.sources.io import read_json, write_table
+from matchlake.sources import versions
+from matchlake.sources.io import read_json_tolerant, write_table
 
 
 @dataclass(frozen=True)
@@ -46,9 +49,35 @@ def with_metadata(df: DataFrame, source: str, batch_id: str, at: Column | None =
     )
 
 
-def read_raw(spark: SparkSession, raw_path: str, name: str, lines: bool = False) -> DataFrame:
+class Loaded(NamedTuple):
+    """Rows of one load: those that were read, those not stored before, and records that could not be read."""
+
+    read: int
+    new: int
+    rejected: int
+
+
+def read_raw(spark: SparkSession, raw_path: str, name: str, lines: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Good rows, and text and file of records that do not fit the schema. The path may be a file or a folder of
+    files. lines=True, one object per line, is read in parallel; otherwise a file is one array and one task."""
     spec = DATASETS[name]
-    return read_json(spark, f"{raw_path}/{spec.file}", spec.schema, lines)
+    return read_json_tolerant(spark, f"{raw_path}/{spec.file}", spec.schema, lines)
+
+
+def _unseen(rows: DataFrame, stored: DataFrame, fields: Sequence[str]) -> DataFrame:
+    """Rows whose fields no stored row has. Two hashes of the row stand for it; rows of `rows` stay as they are,
+    repeated ones too."""
+    marks = [F.xxhash64(*fields).alias("_h1"), F.xxhash64(F.lit("row"), *fields).alias("_h2")]
+    known = stored.select(*marks).distinct()
+    return rows.select("*", *marks).join(known, ["_h1", "_h2"], "left_anti").drop("_h1", "_h2")
+
+
+def _append(spark: SparkSession, rows: DataFrame, path: str, fields, stamp, partition_by, fmt: str) -> int:
+    if versions.exists(spark, path):
+        stored = spark.read.format(fmt)
+        stored = stored.load(path) if fmt == "delta" else stored.schema(rows.schema).load(path)
+        rows = _unseen(rows, stored, fields)
+    return write_table(stamp(rows), path, "append", partition_by, fmt)
 
 
 def ingest(
@@ -57,13 +86,24 @@ def ingest(
     bronze_path: str,
     name: str,
     batch_id: str,
-    lines: bool = False,
+    lines: bool = True,
     fmt: str = "parquet",
-) -> int:
-    """Writes one bronze dataset and returns its rows."""
+) -> Loaded:
+    """Appends the rows of one dataset that bronze does not have yet, so a row keeps the time of its first load.
+
+    Records that do not parse, or have a value of the wrong type, go to `_quarantine/<name>` with their file.
+    """
     spec = DATASETS[name]
-    raw = with_metadata(read_raw(spark, raw_path, name, lines), spec.source, batch_id)
-    return write_table(raw, f"{bronze_path}/{name}", "overwrite", spec.partition_by, fmt)
+    good, bad = read_raw(spark, raw_path, name, lines)
+    seen = Observation()
+
+    def stamp(rows: DataFrame) -> DataFrame:
+        return with_metadata(rows, spec.source, batch_id)
+
+    good = good.observe(seen, F.count(F.lit(1)).alias("rows"))
+    new = _append(spark, good, f"{bronze_path}/{name}", spec.schema.fieldNames(), stamp, spec.partition_by, fmt)
+    _append(spark, bad, f"{bronze_path}/_quarantine/{name}", ["value", "file"], stamp, (), fmt)
+    return Loaded(int(seen.get["rows"]), new, bad.count())
 
 
 def ingest_all(
@@ -71,8 +111,8 @@ def ingest_all(
     raw_path: str,
     bronze_path: str,
     batch_id: str | None = None,
-    lines: bool = False,
+    lines: bool = True,
     fmt: str = "parquet",
-) -> dict[str, int]:
+) -> dict[str, Loaded]:
     batch_id = batch_id or new_batch_id()
     return {name: ingest(spark, raw_path, bronze_path, name, batch_id, lines, fmt) for name in DATASETS}

@@ -1,46 +1,24 @@
 """Table readers and writers. The storage format is a parameter, so Delta works where its package is."""
 
-import tempfile
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
-CORRUPT = "_corrupt_record"
-
-
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the folder the cluster names. Only a local session may invent one."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not sc.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-            folder = tempfile.mkdtemp(prefix="matchlake-checkpoint-")
-        sc.setCheckpointDir(folder)
-    return df.checkpoint()
-
+from matchlake.sources import versions
 
-def spread_small(df: DataFrame, key: str) -> DataFrame:
-    """Uses all cores on a table stored in fewer splits than there are cores.
-
-    Its first stage, often the joins and partial aggregates too, would otherwise run on a few of them.
-    Any table worth a cluster has more splits than cores and is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+CORRUPT = "_corrupt_record"
 
 
-def read_json(spark: SparkSession, path: str, schema: StructType, lines: bool = False) -> DataFrame:
+def read_json(spark: SparkSession, path: str, schema: StructType, lines: bool = True) -> DataFrame:
     """JSON with a declared schema. lines=True reads one object per line, which can be split;
     otherwise each file is one (pretty-printed) array."""
     return spark.read.schema(schema).option("multiLine", not lines).json(path)
 
 
 def read_json_tolerant(
-    spark: SparkSession, path: str, schema: StructType, lines: bool = False
+    spark: SparkSession, path: str, schema: StructType, lines: bool = True
 ) -> tuple[DataFrame, DataFrame]:
     """Good rows, and the raw text and file of what could not be read.
 
@@ -62,6 +40,9 @@ def read_json_tolerant(
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet", merge_schema: bool = False) -> DataFrame:
+    """A table folder; of a versioned table its current version."""
+    if fmt == "parquet" and versions.current(spark, path) is not None:
+        return versions.read(spark, path)
     reader = spark.read.format(fmt)
     return (reader.option("mergeSchema", True) if merge_schema else reader).load(path)
 

@@ -8,6 +8,7 @@ from matchlake.functions.metrics import is_true
 from matchlake.schemas import MATCH_DOCUMENT
 from matchlake.sources.io import CORRUPT
 
+# Fixed value of the published output.
 SOURCE = "cricsheet"
 
 

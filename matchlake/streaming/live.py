@@ -10,7 +10,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from matchlake.functions import metrics as m
 from matchlake.operators.incremental import upsert_table
-from matchlake.schemas import LIVE_BALL_EVENT, SCORE_UPDATE
+from matchlake.schemas import BALL_EVENTS, LIVE_BALL_EVENT, SCORE_UPDATE
 from matchlake.sources.io import CORRUPT
 
 WATERMARK = "30 seconds"
@@ -114,12 +114,32 @@ def as_messages(df: DataFrame, key: str = "match_id") -> DataFrame:
 
 
 def latest_state(states: DataFrame, order: Sequence[str] = ("innings", "over", "ball")) -> DataFrame:
-    """Newest state per match, as a compacted topic would keep it."""
+    """Newest state per match, as a compacted topic would keep it. A wide repeats over and ball; of such events
+    that with the larger total, then wickets, then row hash is the newer, whatever the order of the rows."""
     rest = [c for c in states.columns if c != "match_id"]
-    newest = F.max_by(F.struct(*rest), F.struct(*order)).alias("s")
+    more = [c for c in ("total_runs", "total_wickets") if c in rest and c not in order]
+    newest = F.max_by(F.struct(*rest), F.struct(*order, *more, F.xxhash64(*rest))).alias("s")
     return states.groupBy("match_id").agg(newest).select("match_id", "s.*")
 
 
+def as_ball_events(events: DataFrame) -> DataFrame:
+    """Live events in the columns of the batch deliveries. What the feed does not carry is NULL; the season is the
+    year of the event."""
+    known = {
+        "ball_id": F.col("event_id"),
+        "season": F.year(F.to_timestamp("timestamp")),
+        "is_four": m.is_four(),
+        "is_six": m.is_six(),
+    }
+    columns = []
+    for field in BALL_EVENTS.fields:
+        value = known.get(field.name)
+        if value is None:
+            value = F.col(field.name) if field.name in events.columns else F.lit(None)
+        columns.append(value.cast(field.dataType).alias(field.name))
+    return events.select(*columns)
+
+
 def append_sink(
     df: DataFrame,
     path: str,
@@ -143,7 +163,7 @@ def _upsert_batch(
     batch: DataFrame, batch_id: int, path: str, keys: Sequence[str], order_col: str | None, partition_by: str | None, fmt: str
 ) -> None:
     stamped = batch.withColumn("_batch", F.lit(batch_id).cast("bigint"))
-    upsert_table(stamped, path, keys, order_col or "_batch", partition_by, fmt)
+    upsert_table(stamped, path, keys, order_col or "_batch", partition_by, fmt, keep_newer=order_col is not None)
 
 
 def upsert_sink(
@@ -171,6 +191,13 @@ def stats_sink(
     return upsert_sink(hourly, path, checkpoint, ["window_start", *WINDOW_KEYS], None, every, "window_hour", fmt)
 
 
+def start_quarantine(
+    raw: DataFrame, schema: StructType, name: str, lake: str, checkpoints: str, every: str | None, fmt: str = "parquet"
+) -> StreamingQuery:
+    """Payloads that do not parse, or have a value of the wrong type, kept as they came."""
+    return append_sink(malformed(raw, schema), f"{lake}/quarantine/{name}", f"{checkpoints}/quarantine_{name}", every, fmt)
+
+
 def start_ball_streams(
     raw: DataFrame,
     lake: str,
@@ -178,20 +205,24 @@ def start_ball_streams(
     every: tuple[str | None, str | None] = (BRONZE_TRIGGER, STATS_TRIGGER),
     fmt: str = "parquet",
 ) -> list[StreamingQuery]:
+    """Events to `stream/ball_events` - apart from the batch rows in `bronze/ball_events`, since a streamed folder
+    shows only what its stream wrote -, window statistics, and bad payloads."""
     events = decode(raw)
-    bronze = append_sink(events, f"{lake}/bronze/ball_events", f"{checkpoints}/bronze_ball_events", every[0], fmt)
+    bronze = append_sink(events, f"{lake}/stream/ball_events", f"{checkpoints}/stream_ball_events", every[0], fmt)
     stats = stats_sink(
         window_stats(events), f"{lake}/gold/live_match_stats", f"{checkpoints}/live_match_stats", every[1], fmt
     )
-    return [bronze, stats]
+    bad = start_quarantine(raw, LIVE_BALL_EVENT, "live_ball_events", lake, checkpoints, every[0], fmt)
+    return [bronze, stats, bad]
 
 
 def start_score_stream(
     raw: DataFrame, lake: str, checkpoints: str, every: str | None = SCORE_TRIGGER, fmt: str = "parquet"
-) -> StreamingQuery:
-    return append_sink(
+) -> list[StreamingQuery]:
+    scores = append_sink(
         decode(raw, SCORE_UPDATE), f"{lake}/silver/score_updates", f"{checkpoints}/score_updates", every, fmt
     )
+    return [scores, start_quarantine(raw, SCORE_UPDATE, "score_updates", lake, checkpoints, every, fmt)]
 
 
 def run_all(
@@ -203,10 +234,10 @@ def run_all(
     timeout: int | None = None,
     continuous: bool = True,
 ) -> list[StreamingQuery]:
-    """Starts the three queries, waits until one ends (at most `timeout` seconds) and returns all."""
+    """Starts all queries, waits until one ends (at most `timeout` seconds) and returns them."""
     every = (BRONZE_TRIGGER, STATS_TRIGGER, SCORE_TRIGGER) if continuous else (None, None, None)
     queries = start_ball_streams(ball_source, lake, checkpoints, every[:2])
-    queries.append(start_score_stream(score_source, lake, checkpoints, every[2]))
+    queries += start_score_stream(score_source, lake, checkpoints, every[2])
     if timeout is None:
         spark.streams.awaitAnyTermination()
     else:

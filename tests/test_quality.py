@@ -89,9 +89,9 @@ def test_positive_value(spark):
 
 def test_layers_report_and_gate(spark, raw_folder, tmp_path):
     bronze = str(tmp_path / "bronze")
-    assert ingest_all(spark, raw_folder, bronze, "b1") == {
-        "matches": 5, "ball_events": 6, "players": 5, "teams": 1, "venues": 1,
-    }
+    loads = ingest_all(spark, raw_folder, bronze, "b1")
+    assert {n: x.new for n, x in loads.items()} == {"matches": 5, "ball_events": 6, "players": 7, "teams": 1, "venues": 1}
+    assert all(x.read == x.new and x.rejected == 0 for x in loads.values())
     layers = quality.layer_check(spark, bronze)
     assert all(r.passed and r.total > 0 for r in layers.collect())
     quality.gate(layers)

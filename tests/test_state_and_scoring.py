@@ -63,9 +63,9 @@ def test_rates_and_labels(make_balls):
         ball("A0", 4),
         ball("A1", 2, ball=1),
         ball("A2", 0, over=19, ball=5),
-        ball("B0", 1, innings=2, bat="CSK", bowl="MI"),
-        ball("B1", 0, innings=2, bat="CSK", bowl="MI", ball=0, kind="wide", extras=1),
-        ball("B2", 6, innings=2, bat="CSK", bowl="MI", ball=1),
+        ball("B0", 1, innings=2, bat="BAY", bowl="LAK"),
+        ball("B1", 0, innings=2, bat="BAY", bowl="LAK", ball=0, kind="wide", extras=1),
+        ball("B2", 6, innings=2, bat="BAY", bowl="LAK", ball=1),
     ]
     df = state.with_match_state(state.with_chase(state.with_run_rate(state.running_state(make_balls(rows)))))
     got = {r.ball_id: r for r in df.collect()}
@@ -103,24 +103,24 @@ def test_extras_split(make_balls):
 @pytest.mark.parametrize(
     "second, rule, winner, margin",
     [
-        (7, "defending", "CSK", "10 wickets"),
-        (5, "defending", "MI", "1 runs"),
-        (6, "defending", "MI", "0 runs"),
+        (7, "defending", "BAY", "10 wickets"),
+        (5, "defending", "LAK", "1 runs"),
+        (6, "defending", "LAK", "0 runs"),
         (6, "undecided", None, "tie"),
     ],
 )
 def test_match_summary_from_events(make_balls, second, rule, winner, margin):
     rows = [ball("A0", 4), ball("A1", 2, ball=1)]
-    rows += [ball(f"B{i}", 1, innings=2, ball=i, bat="CSK", bowl="MI") for i in range(second - 4)]
-    rows += [ball("B9", 4, innings=2, ball=5, bat="CSK", bowl="MI"), ball("B8", 0, innings=2, ball=5, bat="CSK", bowl="MI")]
+    rows += [ball(f"B{i}", 1, innings=2, ball=i, bat="BAY", bowl="LAK") for i in range(second - 4)]
+    rows += [ball("B9", 4, innings=2, ball=5, bat="BAY", bowl="LAK"), ball("B8", 0, innings=2, ball=5, bat="BAY", bowl="LAK")]
     row = state.summarise_match(make_balls(rows), rule).first()
     assert (row.winner, row.margin) == (winner, margin)
-    assert (row.innings1_team, row.innings2_team, row.total_fours) == ("MI", "CSK", 2)
+    assert (row.innings1_team, row.innings2_team, row.total_fours) == ("LAK", "BAY", 2)
 
 
 def test_summary_without_second_innings(make_balls):
     row = state.summarise_match(make_balls([ball("A0", 4)])).first()
-    assert (row.winner, row.margin, row.innings2_team, row.innings2_runs) == ("MI", "4 runs", None, 0)
+    assert (row.winner, row.margin, row.innings2_team, row.innings2_runs) == ("LAK", "4 runs", None, 0)
 
 
 def test_totals_from_feed_agree_with_sums(spark, make_balls):

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from matchlake.sources import adapter
+from matchlake.sources.io import read_table
 from matchlake.streaming import live
 
 from .conftest import TESTDATA
@@ -17,7 +18,7 @@ START = datetime(2024, 1, 1, 12)
 
 def event(i, seconds, runs=1, out=False, match="M0", innings=1, **over):
     body = {"event_id": f"E{i}", "match_id": match, "timestamp": "t", "innings": innings, "over": i // 6, "ball": i % 6,
-            "batting_team": "MI", "bowling_team": "CSK", "batsman": "A", "bowler": "Z", "runs_scored": runs,
+            "batting_team": "LAK", "bowling_team": "BAY", "batsman": "A", "bowler": "Z", "runs_scored": runs,
             "is_wicket": out, "total_runs": i, "total_wickets": 0, "run_rate": 6.0, "match_state": "in_progress"}
     return json.dumps(body | over), START + timedelta(seconds=seconds)
 
@@ -71,7 +72,7 @@ def test_window_stream_equals_batch_and_restart_changes_nothing(spark, feed, tmp
 
     def run():
         finish(live.stats_sink(live.window_stats(live.decode(feed.stream())), out, checkpoint))
-        return rows(stats_columns(spark.read.parquet(out)).select(*expected.columns))
+        return rows(stats_columns(read_table(spark, out)).select(*expected.columns))
 
     expected = live.window_stats(live.decode(feed.batch()))
     assert run() == rows(expected)
@@ -92,7 +93,7 @@ def test_windows_in_an_off_heap_state_store(spark, feed, tmp_path):
         for key in live.STATE_STORE_CONF:
             spark.conf.unset(key)
     expected = live.window_stats(live.decode(feed.batch()))
-    assert rows(stats_columns(spark.read.parquet(out)).select(*expected.columns)) == rows(expected)
+    assert rows(stats_columns(read_table(spark, out)).select(*expected.columns)) == rows(expected)
 
 
 def test_late_events_are_dropped(spark, feed, tmp_path):
@@ -102,7 +103,7 @@ def test_late_events_are_dropped(spark, feed, tmp_path):
     feed.put(event(3, 1, 6))
     out = str(tmp_path / "stats")
     finish(live.stats_sink(live.window_stats(live.decode(feed.stream())), out, str(tmp_path / "cp")))
-    first = spark.read.parquet(out).where(F.col("window_start") == F.lit(START))
+    first = read_table(spark, out).where(F.col("window_start") == F.lit(START))
     assert [r.runs_in_window for r in first.collect()] == [1]
 
 
@@ -111,7 +112,7 @@ def test_replayed_batch_is_idempotent(spark, tmp_path):
     batch = spark.createDataFrame([("M0", 1), ("M1", 2)], "match_id string, v int")
     for number in (0, 1, 1):
         live._upsert_batch(batch.withColumn("v", F.col("v") + number), number, path, ["match_id"], None, None, "parquet")
-    assert sorted((r.match_id, r.v) for r in spark.read.parquet(path).collect()) == [("M0", 2), ("M1", 3)]
+    assert sorted((r.match_id, r.v) for r in read_table(spark, path).collect()) == [("M0", 2), ("M1", 3)]
 
 
 def test_testdata_events_stream_equals_batch(spark, tmp_path):
@@ -153,7 +154,7 @@ def test_latest_state_batch_and_stream(spark, feed, tmp_path):
     place = F.col("innings") * 1000 + F.col("over") * 6 + F.col("ball")
     query = live.upsert_sink(states.withColumn("place", place), out, str(tmp_path / "cp"), ["match_id"], "place")
     finish(query)
-    got = {r.match_id: (r.innings, r.over, r.ball) for r in spark.read.parquet(out).collect()}
+    got = {r.match_id: (r.innings, r.over, r.ball) for r in read_table(spark, out).collect()}
     assert got == newest
 
 
@@ -166,9 +167,11 @@ def test_all_streams_together(spark, feed, tmp_path):
     for query in queries:
         finish(query)
     spark.streams.resetTerminated()
-    assert spark.read.parquet(f"{lake}/bronze/ball_events").count() == 2
+    assert spark.read.parquet(f"{lake}/stream/ball_events").count() == 2
+    assert [r.payload for r in spark.read.parquet(f"{lake}/quarantine/live_ball_events").collect()] == ["broken"]
+    assert spark.read.parquet(f"{lake}/quarantine/score_updates").count() == 0
     assert spark.read.parquet(f"{lake}/silver/score_updates").columns == [*live.SCORE_COLUMNS, "kafka_timestamp"]
-    stats = spark.read.parquet(f"{lake}/gold/live_match_stats")
+    stats = read_table(spark, f"{lake}/gold/live_match_stats")
     assert rows(stats_columns(stats).select(live.window_stats(live.decode(feed.batch())).columns)) == rows(
         live.window_stats(live.decode(feed.batch()))
     )
