@@ -9,6 +9,8 @@ document at an earlier place. All strings are judged on the input.
    batch are told apart before that, so a passage in a third of all texts sends one row per batch.
 2. Of equal fragments all but the first repeat. Only anchors with different fragments need sorting: their
    first fragments are cut from the texts and dealt by anchor into shards.
+   An anchor at the edge of a passage in very many texts has as many kinds of fragments as texts. Beyond HOT_KINDS
+   its strings are dealt one by one, by their own hash; those that a batch holds twice are settled there.
 3. Each shard is suffix-sorted (`InducedSorter`). Suffixes with a common prefix of LENGTH bytes lie side by side;
    in each such run all but the earliest repeat.
 4. The repeating starts of a document are merged into spans and removed in one join.
@@ -38,6 +40,9 @@ BASE, MASK = 0x9E3779B97F4A7C15, (1 << 64) - 1
 # Bytes of a text whose anchors are found at a time; places take 24 bits of an anchor's key.
 PIECE = 1 << 23
 SHARD_BYTES = 4 << 20
+# Kinds of fragments of an anchor from which its strings are dealt one by one.
+HOT_KINDS = 1000
+REPEAT, OPEN, HOT = 0, 1, 2
 # Bytes of waiting suffix tuples that a queue keeps in memory.
 QUEUE_BYTES = 64 << 20
 FAR = np.int32(1 << 20)
@@ -121,27 +126,28 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 parts, size = [], 0
 
 
-JUDGED = pa.schema([("anchor", pa.int64()), ("doc", pa.int64()), ("start", pa.int64()), ("count", pa.int64()), ("open", pa.bool_())])
+JUDGED = pa.schema([("anchor", pa.int64()), ("doc", pa.int64()), ("start", pa.int64()), ("count", pa.int64()), ("state", pa.int32())])
 
 
-def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (anchor, mark, doc, start). Gives repeating fragments, and as `open` the first of each kind
-    of anchors that have several kinds."""
+def _judge(batches: Iterator[pa.RecordBatch], hot_kinds: int) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by (anchor, mark, doc, start). Gives repeating fragments, and as OPEN or HOT the first of each
+    kind of anchors that have several kinds."""
 
     def judged(rows):
         a, m, doc, start, count = rows
         copy = count < 0
         if copy.any():
-            yield _batch(JUDGED, a[copy], doc[copy], start[copy], -count[copy], np.zeros(copy.sum(), bool))
+            yield _batch(JUDGED, a[copy], doc[copy], start[copy], -count[copy], np.full(copy.sum(), REPEAT))
             a, m, doc, start, count = (x[~copy] for x in rows)
         if not len(a):
             return
         new_a = np.concatenate([[True], a[1:] != a[:-1]])
         new_kind = new_a | np.concatenate([[True], m[1:] != m[:-1]])
         group = np.cumsum(new_a) - 1
-        several = np.bincount(group, new_kind)[group] > 1
-        kept = ~new_kind | several
-        yield _batch(JUDGED, a[kept], doc[kept], start[kept], count[kept], new_kind[kept])
+        kinds = np.bincount(group, new_kind)[group]
+        kept = ~new_kind | (kinds > 1)
+        state = np.where(new_kind, np.where(kinds > hot_kinds, HOT, OPEN), REPEAT)
+        yield _batch(JUDGED, a[kept], doc[kept], start[kept], count[kept], state[kept])
 
     held = None
     for batch in batches:
@@ -424,7 +430,13 @@ def _sorter(shard_bytes: int, budget: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, size, last = [], 0, None
         for batch in batches:
+            known = [k for k, data in enumerate(batch.column("data").is_null().to_pylist()) if data]
+            if known:
+                settled = batch.take(pa.array(known))
+                yield _batch(SPAN, *(settled.column(c) for c in SPAN.names))
             for row in zip(*(batch.column(c).to_pylist() for c in ("anchor", "doc", "start", "count", "data")), strict=True):
+                if row[4] is None:
+                    continue
                 if row[0] != last and size > shard_bytes:
                     yield spans(shard)
                     shard, size = [], 0
@@ -443,15 +455,29 @@ PIECE_SCHEMA = pa.schema([("anchor", pa.int64()), ("doc", pa.int64()), ("start",
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Bytes of the wanted fragments of each text."""
+    """Bytes of the wanted fragments of each text, of hot anchors string by string. A string that repeats inside the
+    batch comes without bytes, under any key."""
     for batch in batches:
-        out = []
+        out, single = [], {}
         wanted = batch.column("wanted").to_pylist()
         for doc, text, places in zip(batch.column("doc").to_pylist(), batch.column("text").to_pylist(), wanted, strict=True):
             data = text.encode()
             for w in places:
                 end = w["start"] + w["count"] + LENGTH - 1
-                out.append((w["anchor"], doc, w["start"], w["count"], data[w["start"] : end]))
+                if w["state"] == OPEN:
+                    out.append((w["anchor"], doc, w["start"], w["count"], data[w["start"] : end]))
+                    continue
+                for at in range(w["start"], w["start"] + w["count"]):
+                    here, string = (doc, at), data[at : at + LENGTH]
+                    first = single.get(string)
+                    if first is None:
+                        single[string] = here
+                        continue
+                    single[string], here = min(first, here), max(first, here)
+                    key = (here[0] * 0x9E3779B1 + here[1] * 0x85EBCA77) & (MASK >> 1)
+                    out.append((key, *here, 1, None))
+        for string, here in single.items():
+            out.append((xxhash.xxh3_64_intdigest(string) >> 1, *here, 1, string))
         if out:
             yield _batch(PIECE_SCHEMA, *zip(*out, strict=True))
 
@@ -479,21 +505,27 @@ def in_order(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return staged(numbered(ids.withColumn("_key", key), "_key", "doc").drop("_key"), "ordered")
 
 
-def repeating_starts(texts: DataFrame, shard_bytes: int = SHARD_BYTES, budget: int = QUEUE_BYTES) -> DataFrame:
+def repeating_starts(
+    texts: DataFrame, shard_bytes: int = SHARD_BYTES, budget: int = QUEUE_BYTES, hot_kinds: int = HOT_KINDS
+) -> DataFrame:
     """(doc, start, count): runs of starts whose string starts earlier. texts: (doc, text)."""
     parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cut = texts.select("doc", "text").mapInArrow(_cut, "anchor bigint, mark bigint, doc bigint, start bigint, count bigint")
     sorted_rows = cut.repartition(parts, "anchor").sortWithinPartitions("anchor", "mark", "doc", "start")
     judged = staged(
-        sorted_rows.mapInArrow(_judge, "anchor bigint, doc bigint, start bigint, count bigint, open boolean"), "judged"
+        sorted_rows.mapInArrow(
+            lambda batches: _judge(batches, hot_kinds), "anchor bigint, doc bigint, start bigint, count bigint, state int"
+        ),
+        "judged",
     )
-    wanted = judged.where("open").groupBy("doc").agg(F.collect_list(F.struct("anchor", "start", "count")).alias("wanted"))
+    wanted = judged.where(F.col("state") != REPEAT).groupBy("doc")
+    wanted = wanted.agg(F.collect_list(F.struct("anchor", "start", "count", "state")).alias("wanted"))
     pieces = texts.select("doc", "text").join(wanted, "doc").mapInArrow(
         _extract, "anchor bigint, doc bigint, start bigint, count bigint, data binary"
     )
     shards = pieces.repartition(parts, "anchor").sortWithinPartitions("anchor")
     found = shards.mapInArrow(_sorter(shard_bytes, budget), "doc bigint, start bigint, count bigint")
-    return judged.where("not open").select("doc", "start", "count").union(found)
+    return judged.where(F.col("state") == REPEAT).select("doc", "start", "count").union(found)
 
 
 def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

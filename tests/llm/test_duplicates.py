@@ -169,13 +169,14 @@ def test_suffix_hostile(make_docs, hostile):
     rows = [(i, t, s) for i, t, s in hostile if i is not None and i != 108]
     rows += [(2000 + k, "".join(rng.choice("abcd ") for _ in range(90)) + shared[k % 7 : 300 + k], "s") for k in range(60)]
     rows += [(3000, "ab" * 400, "s"), (3001, "a" * 1000, "s"), (3002, "ba" * 60, "s"), (3003, "é" * 120, "s")]
-    found = suffix_dedup.removals(make_docs(rows), shard_bytes=2000, budget=3000).collect()
-    got = {}
-    for r in found:
-        spans = suffix_dedup.merged([(s["start"], s["count"]) for s in r.starts or []])
-        got[r.doc_id] = (sum(b - a for a, b in spans), len(spans))
     want = {i: (n, spans) for i, _, n, spans, _ in brute_removals(sorted((i, t) for i, t, _ in rows))}
-    assert got == want
+    for hot_kinds in (1, 4, 1000):
+        found = suffix_dedup.removals(make_docs(rows), shard_bytes=2000, budget=3000, hot_kinds=hot_kinds).collect()
+        got = {}
+        for r in found:
+            spans = suffix_dedup.merged([(s["start"], s["count"]) for s in r.starts or []])
+            got[r.doc_id] = (sum(b - a for a, b in spans), len(spans))
+        assert got == want
 
 
 def test_suffix_ties_and_nulls(make_docs):
