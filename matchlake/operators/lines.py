@@ -98,7 +98,9 @@ def roles(balls: DataFrame) -> DataFrame:
     return balls.select(*[c for c in kept if c in balls.columns], F.inline(both))
 
 
-def player_line(balls: DataFrame, keys: Sequence[str], dot_rule: str = "bat") -> DataFrame:
+def player_line(
+    balls: DataFrame, keys: Sequence[str], dot_rule: str = "bat", exclude_run_outs: bool = False
+) -> DataFrame:
     """Batting and bowling of a player side by side; keys name `player`, not batsman or bowler.
 
     Grouping both roles together replaces a full outer join of two aggregates: one scan and one
@@ -106,7 +108,8 @@ def player_line(balls: DataFrame, keys: Sequence[str], dot_rule: str = "bat") ->
     """
     bat, bowl = F.col("role") == BAT, F.col("role") == BOWL
     total = lambda role, value: F.sum(F.when(role, value).otherwise(0))
-    out = m.is_out()
+    out = m.is_out(exclude_run_outs)
+    run_out = m.is_out() & (F.col("dismissal_type") == "run out")
     agg = (
         roles(balls)
         .groupBy(*keys)
@@ -123,7 +126,7 @@ def player_line(balls: DataFrame, keys: Sequence[str], dot_rule: str = "bat") ->
             m.count_where(bowl & out).alias("wickets"),
             m.count_where(bowl & m.is_dot(dot_rule)).alias("bowling_dot_balls"),
             m.count_where(bowl & out & (F.col("dismissal_type") == "caught")).alias("caught_off"),
-            m.count_where(bowl & out & (F.col("dismissal_type") == "run out")).alias("run_out_off"),
+            m.count_where(bowl & run_out).alias("run_out_off"),
             *([F.min("season").alias("season")] if "season" not in keys else []),
             *_loaded(balls),
         )

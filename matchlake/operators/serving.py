@@ -18,10 +18,14 @@ PLAYER_STATS = (
 
 
 def player_stats(
-    players: DataFrame, balls: DataFrame, season: int | None = None, role: str | None = None
+    players: DataFrame,
+    balls: DataFrame,
+    season: int | None = None,
+    role: str | None = None,
+    exclude_run_outs: bool = False,
 ) -> DataFrame:
     """Every registered player with batting and bowling totals; zeros for those without deliveries."""
-    totals = lines.player_line(_in_season(balls, season), ["player"]).select(
+    totals = lines.player_line(_in_season(balls, season), ["player"], exclude_run_outs=exclude_run_outs).select(
         F.col("player").alias("player_name"),
         F.col("matches").alias("matches_played"),
         F.col("runs").alias("total_runs"),
@@ -51,9 +55,10 @@ def get_players(
     per_page: int = 20,
     sort_by: str = "total_runs",
     role: str | None = None,
+    exclude_run_outs: bool = False,
 ) -> DataFrame:
     """A page of players and the total over all pages."""
-    stats = player_stats(players, balls, role=role)
+    stats = player_stats(players, balls, role=role, exclude_run_outs=exclude_run_outs)
     text = dict(stats.dtypes)[sort_by] == "string"
     bucket = F.left(sort_by, F.lit(3)) if text else F.floor(F.col(sort_by))
     return page_with_total(stats, [F.col(sort_by).desc(), F.col("player_id")], bucket, True, page, per_page)

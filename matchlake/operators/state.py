@@ -14,7 +14,7 @@ def ball_runs() -> Column:
     return F.col("runs_scored") + F.coalesce(F.col("extras"), F.lit(0))
 
 
-def running_state(balls: DataFrame, split: int = 1) -> DataFrame:
+def running_state(balls: DataFrame, split: int = 1, extras_inside: bool = False) -> DataFrame:
     """Adds running totals per innings: total_runs, total_wickets, legal_balls and the chase target.
 
     A running window over a whole innings would put a match, however large, into one task. Totals
@@ -23,6 +23,8 @@ def running_state(balls: DataFrame, split: int = 1) -> DataFrame:
     over are walked in order. split=2 cuts at each ball of an over instead, for feeds that repeat
     single overs without bound.
     """
+    if extras_inside:
+        balls = with_separate_extras(balls)
     if split not in (1, 2):
         raise ValueError("an innings is split by over (1) or by over and ball (2)")
     cut, rest = ORDER[:split], ORDER[split:]
@@ -92,8 +94,22 @@ def with_match_state(state: DataFrame) -> DataFrame:
     )
 
 
-def with_extras_split(balls: DataFrame) -> DataFrame:
-    """Legal flag and runs split into bat, wide and no-ball shares."""
+def with_separate_extras(balls: DataFrame) -> DataFrame:
+    """A feed whose runs_scored holds the extras as well, in the convention of all operators here: runs_scored off
+    the bat, extras apart. Without an `extras` column the runs of a wide and one run of a no-ball are extras."""
+    given = F.col("extras") if "extras" in balls.columns else F.lit(None)
+    penalty = F.when(F.col("extras_type") == "wide", F.col("runs_scored"))
+    penalty = penalty.when(F.col("extras_type") == "noball", F.least(F.lit(1), F.col("runs_scored"))).otherwise(0)
+    extra = F.coalesce(given, penalty)
+    split = balls.withColumn("_extra", extra.cast("int"))
+    bat = (F.col("runs_scored") - F.col("_extra")).cast("int")
+    return split.withColumn("runs_scored", bat).withColumn("extras", F.col("_extra")).drop("_extra")
+
+
+def with_extras_split(balls: DataFrame, extras_inside: bool = False) -> DataFrame:
+    """Legal flag and runs split into bat, wide and no-ball shares. extras_inside: runs_scored holds the extras."""
+    if extras_inside:
+        balls = with_separate_extras(balls)
     extra = F.coalesce(F.col("extras"), F.lit(0))
     of = lambda kind: F.when(F.col("extras_type") == kind, extra).otherwise(0)
     return balls.withColumns(

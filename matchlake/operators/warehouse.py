@@ -213,13 +213,13 @@ def fact_match_summary(stg_matches: DataFrame, stg_balls: DataFrame) -> DataFram
     )
 
 
-def fact_player_performance(stg_balls: DataFrame) -> DataFrame:
+def fact_player_performance(stg_balls: DataFrame, exclude_run_outs: bool = False) -> DataFrame:
     """One row per (match, player), batting and bowling side by side.
 
     The grain is the merge key, so a player appearing in two innings neither fans out nor breaks it.
     """
     keys = ["match_id", "player"]
-    per_team = lines.player_line(stg_balls, [*keys, "team"], "all").select(*keys, "team", *PLAYER_COUNTS)
+    per_team = lines.player_line(stg_balls, [*keys, "team"], "all", exclude_run_outs).select(*keys, "team", *PLAYER_COUNTS)
     merged = lines.one_text(per_team, keys, "team", prefer=F.col("balls_faced") > 0)
     return lines.with_player_rates(merged).select(
         "season",

@@ -535,6 +535,22 @@ def _(t):
     return line.withColumns(fielding).withColumns(scoring.fantasy_points())
 
 
+@query(
+    "w9_without_run_outs",
+    "player: string; dismissals wickets run_out_off: bigint",
+    f"""SELECT coalesce(a.player, b.player) AS player, coalesce(dismissals, 0) AS dismissals, coalesce(wickets, 0) AS wickets,
+          coalesce(run_out_off, 0) AS run_out_off
+        FROM (SELECT batsman AS player, {cnt("is_wicket AND dismissal_type <> 'run out'")} AS dismissals
+              FROM balls GROUP BY 1) a
+        FULL JOIN (SELECT bowler AS player, {cnt("is_wicket AND dismissal_type <> 'run out'")} AS wickets,
+              {cnt("is_wicket AND dismissal_type = 'run out'")} AS run_out_off FROM balls GROUP BY 1) b
+        ON a.player = b.player""",
+)
+def _(t):
+    line = lines.player_line(t.balls, ["player"], exclude_run_outs=True)
+    return line.select("player", "dismissals", "wickets", "run_out_off")
+
+
 @query(
     "m4_simple_fantasy",
     "match_id: bigint; player: string; fantasy_points: double",

@@ -218,3 +218,16 @@ def test_live_indicators(spark):
     got = scoring.live_indicators(states).collect()
     assert [(r.score_line, r.runs_needed, r.projected) for r in got] == [
         ("100/3", 80, None), ("200/3", 0, None), ("100/3", None, 166)]
+
+
+def test_extras_inside_the_runs(make_balls):
+    """The same deliveries in both conventions, and without an extras column."""
+    apart = make_balls([ball("B0", 4), ball("B1", 0, ball=1, extras=1, kind="wide"), ball("B2", 2, ball=2, extras=1, kind="noball")])
+    inside = make_balls([ball("B0", 4), ball("B1", 1, ball=1, extras=1, kind="wide"), ball("B2", 3, ball=2, extras=1, kind="noball")])
+    columns = ["ball_id", "bat_runs", "wide_runs", "noball_runs", "is_legal"]
+    want = sorted(map(str, state.with_extras_split(apart).select(*columns).collect()))
+    assert sorted(map(str, state.with_extras_split(inside, extras_inside=True).select(*columns).collect())) == want
+    totals = lambda df, **k: {r.ball_id: r.total_runs for r in state.running_state(df, **k).collect()}
+    assert totals(apart) == totals(inside, extras_inside=True) == {"B0": 4, "B1": 5, "B2": 8}
+    bare = state.with_extras_split(inside.drop("extras"), extras_inside=True).select(*columns)
+    assert sorted(map(str, bare.collect())) == want
