@@ -3,9 +3,11 @@
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
+from matchlake.functions import metrics as m
 from matchlake.operators import incremental, quality, serving, warehouse
 from matchlake.plans.base import cnt, query, r
 from matchlake.plans.lake import STG_MATCHES_SQL
+from matchlake.schemas import LIVE_BALL_EVENT
 from matchlake.sources.bronze import with_metadata
 from matchlake.streaming import live
 
@@ -206,7 +208,8 @@ MATCH_FACT_SQL = f"""
     MATCH_FACT_SQL,
 )
 def _(t):
-    return warehouse.fact_match_summary(t.stg_matches, t.stg_balls)
+    # The totals need no header column, so the deliveries go in as they are recorded.
+    return warehouse.fact_match_summary(t.stg_matches, t.lines.withColumn("match_phase", m.phase()))
 
 
 @query(
@@ -666,6 +669,34 @@ def _(t):
     return live.decode(raw, StructType([StructField("k", IntegerType())]))
 
 
+@query(
+    "t1_decode_all_fields",
+    "event_id match_id timestamp: string; innings over ball: int; batting_team bowling_team batsman bowler: string; "
+    "runs_scored: int; is_wicket: boolean; dismissal_type: string; is_boundary: boolean; total_runs total_wickets: int; "
+    "run_rate: double; is_powerplay is_death_overs: boolean; phase venue city match_state: string; "
+    "kafka_timestamp: timestamp_ntz",
+    """SELECT * EXCLUDE (match_id), CAST(match_id AS VARCHAR) AS match_id, props AS timestamp, runs_scored IN (4, 6) AS is_boundary,
+         over < 6 AS is_powerplay, over > 15 AS is_death_overs, 'p' || over AS phase, batting_team AS venue,
+         bowling_team AS city, CASE WHEN ball > 2 THEN 'live' END AS match_state, ts AS kafka_timestamp
+       FROM live""",
+)
+def _(t):
+    filled = t.live.withColumns(
+        {
+            "timestamp": F.col("props"),
+            "is_boundary": F.col("runs_scored").isin(4, 6),
+            "is_powerplay": F.col("over") < 6,
+            "is_death_overs": F.col("over") > 15,
+            "phase": F.concat(F.lit("p"), "over"),
+            "venue": F.col("batting_team"),
+            "city": F.col("bowling_team"),
+            "match_state": F.when(F.col("ball") > 2, "live"),
+        }
+    )
+    fields = [F.col(f.name).cast(f.dataType).alias(f.name) for f in LIVE_BALL_EVENT.fields]
+    return live.decode(filled.select(F.to_json(F.struct(*fields)).alias("value"), F.col("event_time").alias("timestamp")))
+
+
 WINDOW_COLUMNS = (
     "window_start window_end: timestamp_ntz; match_id: bigint; innings: int; batting_team: string; "
     "runs_in_window balls_in_window wickets_in_window fours sixes: bigint; current_total current_wickets: int; "
