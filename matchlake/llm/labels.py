@@ -4,7 +4,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from matchlake.llm.common import staged
+from matchlake.llm.common import smallest, staged
 
 
 def remainder(id_col: Column, parts: int) -> Column:
@@ -22,9 +22,12 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, parts: int,
     known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull())
     known = known.groupBy("doc_id").agg(F.min(label).alias("label"), F.max(label).alias("_other"))
     known = known.where((F.col("label") == F.col("_other")) & (remainder(F.col("doc_id"), parts) != held_out))
+    known = staged(known.select("doc_id", "label"), "known-labels")
+    there = {r[0]: r[1] for r in known.groupBy("label").count().collect()}
     picked = None
     for value, most in enumerate(rows):
-        part = known.where(F.col("label") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+        mine = known.where(F.col("label") == value)
+        part = smallest(mine, F.xxhash64("doc_id"), most, there.get(value, 0), "doc_id")
         picked = part if picked is None else picked.union(part)
     picked = staged(picked.select("doc_id", "label"), "sample-ids")
     # An id that several rows have counts once.

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from matchlake.llm.common import join_rows, staged
+from matchlake.llm.common import join_rows, smallest, staged
 
 RULES = (
     ("com", "/", "allow"),
@@ -89,7 +89,7 @@ def match(urls: DataFrame, rules: DataFrame, parts: int | None = None) -> DataFr
     key = F.concat(F.array_join(F.slice("_labels", F.lit(1), F.col("_n")), "."), F.lit("/"), F.col("path"))
     probes = staged(probes.select("host", "path", key.alias("key")), "url-probes")
 
-    sample = probes.orderBy(F.xxhash64("key", "host")).limit(SAMPLE * parts)
+    sample = smallest(probes, F.xxhash64("key", "host"), SAMPLE * parts, probes.count(), "key")
     keys = sorted(r[0] for r in sample.select(F.left("key", F.lit(BOUND_CHARS))).collect())
     bounds = sorted(set(keys[SAMPLE::SAMPLE]))
 
