@@ -40,8 +40,8 @@ BASE, MASK = 0x9E3779B97F4A7C15, (1 << 64) - 1
 # Bytes of a text whose anchors are found at a time; places take 24 bits of an anchor's key.
 PIECE = 1 << 23
 SHARD_BYTES = 4 << 20
-# Kinds of fragments of an anchor from which its strings are dealt one by one.
-HOT_KINDS = 1000
+# Kinds of fragments of an anchor beyond which its strings are dealt one by one.
+HOT_KINDS = 2500
 REPEAT, OPEN, HOT = 0, 1, 2
 # Bytes of waiting suffix tuples that a queue keeps in memory.
 QUEUE_BYTES = 64 << 20
