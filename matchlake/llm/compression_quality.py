@@ -7,7 +7,7 @@ worst; the size without a dictionary, likewise normalised, says how much the tex
 logistic calibration on other labelled documents turns them into the probability of label 1.
 
 What is learned from is bounded: EXCERPTS documents a class for the dictionaries, CALIBRATION a class for
-the calibration. Scoring is one pass over whole texts without a shuffle.
+the calibration, whose intercept is then moved to the classes' shares among all training labels. Scoring is one pass over whole texts without a shuffle.
 
 Cases: null and empty texts have no bytes, difference 0 and size 1, and get the score that follows from
 that. Without labels of both classes the score is the share of label 1 (0.5 if there is none). Labels
@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchlake.llm.labels import labelled_sample, logistic, remainder, sigmoid
+from matchlake.llm.labels import labelled_sample, logistic, remainder, sigmoid, training_labels
 
 PARTS, HELD_OUT = 3, 1
 EXCERPTS, EXCERPT_BYTES, CALIBRATION = 256, 440, 3000
@@ -84,8 +84,11 @@ def measure(bad: bytes, good: bytes):
     return measured
 
 
-def fit(sample: DataFrame, excerpts: int) -> dict | float:
-    """Dictionaries and weights from a labelled sample; a plain score if a class is missing."""
+def fit(sample: DataFrame, excerpts: int, base_rate: float) -> dict | float:
+    """Dictionaries and weights from a labelled sample; a plain score if a class is missing.
+
+    base_rate is the share of label 1 that the scores are for.
+    """
     half = F.pmod(F.xxhash64("doc_id", F.lit("excerpt")), F.lit(2))
     sample = sample.withColumn("half", half)
     shares = {r[0]: r[1] for r in sample.groupBy("label").count().collect()}
@@ -99,11 +102,14 @@ def fit(sample: DataFrame, excerpts: int) -> dict | float:
         spread = rows.select(F.substr("text", *_cut("text")).alias("text")).collect()
         pools.append(b"\n".join(excerpt(r[0].encode()) for r in spread))
     if not all(pools):
-        return shares.get(1, 0) / sum(shares.values())
+        return base_rate
     rest = sample.where("half = 1").select("label", measure(*pools)("text").alias("x")).select("label", "x.*").toPandas()
     if rest["label"].nunique() < 2:
-        return shares[1] / sum(shares.values())
+        return base_rate
     weights = logistic(columns(rest), rest["label"].to_numpy(float), ridge=0.1)
+    # The sample holds the classes in other shares than the labels.
+    prior = rest["label"].mean()
+    weights[0] += np.log(base_rate / (1 - base_rate)) - np.log(prior / (1 - prior))
     return {"bad": pools[0], "good": pools[1], "weights": weights.tolist()}
 
 
@@ -118,7 +124,10 @@ def score(docs: DataFrame, labels: DataFrame, excerpts: int = EXCERPTS, calibrat
     """One row per document: doc_id, held_out, score, predicted."""
     docs = docs.select("doc_id", "text")
     most = 2 * max(excerpts, calibration)
-    model = fit(labelled_sample(docs, labels, "quality", PARTS, HELD_OUT, (most, most)), excerpts)
+    known = training_labels(labels, "quality", PARTS, HELD_OUT)
+    ones, zeros = known.agg(F.sum("label"), F.sum(1 - F.col("label"))).first()
+    base_rate = ((ones or 0) + 1) / ((ones or 0) + (zeros or 0) + 2)
+    model = fit(labelled_sample(docs, labels, "quality", PARTS, HELD_OUT, (most, most)), excerpts, base_rate)
     if isinstance(model, float):
         value = F.lit(model)
         scored = docs

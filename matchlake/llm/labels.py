@@ -12,17 +12,21 @@ def remainder(id_col: Column, parts: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")), F.lit(parts))
 
 
+def training_labels(labels: DataFrame, label: str, parts: int, held_out: int) -> DataFrame:
+    """(doc_id, label) without ids whose remainder is held_out, null ids, and ids with two labels."""
+    known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull())
+    known = known.groupBy("doc_id").agg(F.min(label).alias("label"), F.max(label).alias("_other"))
+    known = known.where((F.col("label") == F.col("_other")) & (remainder(F.col("doc_id"), parts) != held_out))
+    return known.select("doc_id", "label")
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, parts: int, held_out: int, rows: tuple[int, int]):
     """Staged (doc_id, label, text) of at most rows[0] documents labelled 0 and rows[1] labelled 1.
 
-    Ids whose remainder is held_out, null ids, and ids with two labels are left out; the smallest hashes
-    of the ids are taken, so the sample is the same in every run. The ids are bounded by `rows` and
-    broadcast. docs: (doc_id, text).
+    Of the training labels, the smallest hashes of the ids are taken, so the sample is the same in every
+    run. The ids are bounded by `rows` and broadcast. docs: (doc_id, text).
     """
-    known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull())
-    known = known.groupBy("doc_id").agg(F.min(label).alias("label"), F.max(label).alias("_other"))
-    known = known.where((F.col("label") == F.col("_other")) & (remainder(F.col("doc_id"), parts) != held_out))
-    known = staged(known.select("doc_id", "label"), "known-labels")
+    known = staged(training_labels(labels, label, parts, held_out), "known-labels")
     there = {r[0]: r[1] for r in known.groupBy("label").count().collect()}
     picked = None
     for value, most in enumerate(rows):
