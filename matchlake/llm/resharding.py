@@ -9,8 +9,8 @@ a shard, and a document's slot is its place in its shard's files.
 The driver holds one number per (old shard, block), at most old shards x blocks, whatever the data.
 
 Cases: a null or empty text has no bytes and counts ROW_BYTES. Null ids hash with their text. Repeated
-rows share a block and move together. An empty table gives empty shards. Other columns are kept by
-`rewrite` and ignored by the query.
+rows share a block and move together. An empty table gives empty shards. Other columns are kept in the
+shard files; the digest rows do not need them.
 """
 
 from collections import deque
@@ -160,14 +160,18 @@ def slots(written: DataFrame) -> DataFrame:
     return rows.join(starts, "_file").withColumn("slot", F.col("_start") + F.col("_row")).drop("_start", "_row", "_file")
 
 
-def reshard(docs: DataFrame, id_col="doc_id", text_col="text", new_shards=NEW_SHARDS) -> DataFrame:
-    """Plans, rewrites, and reads the new files: one digest row per document, from the files."""
+def reshard(docs: DataFrame, id_col="doc_id", text_col="text", new_shards=NEW_SHARDS, path: str | None = None) -> DataFrame:
+    """Plans, rewrites, and reads the new files: one digest row per document, from the files.
+
+    The files hold docs' own columns and stay at path, by default a new folder `shards-...` of the shared
+    one, which is among the frame's inputFiles().
+    """
     moves = plan(docs, id_col, text_col, new_shards)
-    path = scratch(docs.sparkSession, "shards")
-    kept = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    rewrite(kept, moves, path)
-    schema = kept.schema.add("_shard", "integer")
+    path = path or scratch(docs.sparkSession, "shards")
+    rewrite(docs, moves, path, id_col=id_col, text_col=text_col)
+    schema = docs.select(id_col, text_col).schema.add("_shard", "integer")
     written = docs.sparkSession.read.schema(schema).parquet(path)
+    written = written.withColumnsRenamed({id_col: "doc_id", text_col: "text"})
     text = F.coalesce("text", F.lit(""))
     return slots(written).select(
         "doc_id",
