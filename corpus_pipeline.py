@@ -5,7 +5,7 @@ Each stage takes all that its predecessor kept, written as Parquet and read agai
 
 from pyspark.sql import DataFrame, SparkSession
 
-from matchlake.llm import decontamination, mixing, near_copies, quality_rules, resharding
+from matchlake.llm import decontamination, mixing, quality_rules, resharding, simhash
 from matchlake.llm.common import staged
 
 
@@ -15,8 +15,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, by five-word shingles."""
-    return near_copies.deduplicate(docs)
+    """One document of each group whose fingerprints of three-word shingles differ by at most three bits."""
+    return simhash.deduplicate(docs)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
