@@ -2,7 +2,7 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from matchlake.sources import versions
@@ -134,3 +134,65 @@ def scd2(history: DataFrame | None, snapshot: DataFrame, key: str, check: Sequen
     opened = row("new", (is_new & ~is_old) | changed, no_end)
     rows = F.filter(F.array(kept, opened), lambda r: r.isNotNull())
     return pair.select(F.inline(rows))
+
+
+def apply_changes(changes: DataFrame, keys: Sequence[str], sequence: str, deleted: Column) -> DataFrame:
+    """The table that a feed of changes describes: per key the row of the largest sequence, whatever order the changes
+    come in, and no row where that one deletes. Changes of equal sequence fall back to a hash of the row. Deletions stay
+    in the feed as tombstones, so an older change that comes later does not bring a row back."""
+    return newest_rows(changes.withColumn("_deleted", deleted), keys, sequence).where(~F.coalesce("_deleted", F.lit(False))).drop("_deleted")
+
+
+def with_late_snapshot(
+    history: DataFrame, snapshot: DataFrame, key: str, check: Sequence[str], at: Column, later: Column
+) -> DataFrame:
+    """History as if a snapshot of an earlier time `at` had come in its turn.
+
+    later: the time of the next snapshot that was taken, or NULL. Where the snapshot differs from the interval it falls
+    into, that interval is split: its old values hold to `at`, the snapshot's values to `later`, and from there the old
+    ones again if they were still valid. Intervals that meet with equal values are one. Only the snapshot's keys are
+    looked at, the history of one key at a time; all other rows pass through.
+    """
+    columns = [c for c in snapshot.columns if c != key]
+    values = F.struct(*columns)
+    mine = history.join(snapshot.select(key).distinct(), key, "left_semi")
+    points = mine.select(key, F.col("valid_from").alias("_since"), F.lit(0).alias("_rank"), values.alias("_v"))
+    covers = (F.col("valid_from") <= at) & (F.col("valid_to").isNull() | (F.col("valid_to") > later))
+    again = mine.where(covers & later.isNotNull()).select(key, later.alias("_since"), F.lit(0).alias("_rank"), values.alias("_v"))
+    # At one time the later point counts: a start that was known stays, the snapshot comes before none.
+    new = snapshot.select(key, at.alias("_since"), F.lit(1).alias("_rank"), values.alias("_v"))
+    one = points.unionByName(again).unionByName(new).groupBy(key, "_since").agg(F.max_by("_v", "_rank").alias("_v"))
+    line = Window.partitionBy(key).orderBy("_since")
+    told = F.struct(*[F.col(f"_v.{c}") for c in check])
+    before = F.lag(told).over(line)
+    starts = one.withColumn("_new", before.isNull() | ~before.eqNullSafe(told)).where("_new")
+    rebuilt = starts.select(
+        key, *[F.col(f"_v.{c}").alias(c) for c in columns], F.col("_since").alias("valid_from"), F.lead("_since").over(line).alias("valid_to")
+    )
+    rest = history.join(snapshot.select(key).distinct(), key, "left_anti")
+    return rest.unionByName(rebuilt.select(*history.columns))
+
+
+def as_of(facts: DataFrame, history: DataFrame, fact_key: str, at: str, key: str, values: Sequence[str], prefix: str = "then_") -> DataFrame:
+    """Facts with the values their key had at the fact's time; NULL where the history has none.
+
+    Intervals are cut at the months they span, so facts and intervals meet by key and month: a key that holds a third of
+    all facts is spread over its months, and an interval is compared with facts of its own months only. Open intervals
+    end at the newest fact.
+    """
+    month = lambda c: (F.year(c) * 12 + F.month(c)).cast("int")
+    first, last = (facts.agg(f(month(F.col(at)))).scalar() for f in (F.min, F.max))
+    spans = history.withColumns(
+        {
+            "_low": F.greatest(month(F.col("valid_from")), first),
+            "_high": F.least(F.coalesce(month(F.col("valid_to")), last), last),
+        }
+    )
+    spans = spans.where(F.col("_low") <= F.col("_high")).select(
+        F.col(key).alias("_of"), F.explode(F.sequence("_low", "_high")).alias("_in"), "valid_from", "valid_to",
+        *[F.col(v).alias(f"{prefix}{v}") for v in values],
+    )
+    timed = facts.withColumn("_month", month(F.col(at)))
+    inside = (F.col(at) >= F.col("valid_from")) & (F.col("valid_to").isNull() | (F.col(at) < F.col("valid_to")))
+    met = timed.join(spans, (F.col(fact_key) == F.col("_of")) & (F.col("_month") == F.col("_in")) & inside, "left")
+    return met.drop("_month", "_of", "_in", "valid_from", "valid_to")

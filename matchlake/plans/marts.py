@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from matchlake.functions import metrics as m
-from matchlake.operators import incremental, quality, serving, warehouse
+from matchlake.operators import incremental, quality, serving, summary, warehouse
 from matchlake.plans.base import cnt, query, r
 from matchlake.plans.lake import STG_MATCHES_SQL
 from matchlake.schemas import LIVE_BALL_EVENT
@@ -66,13 +66,13 @@ def _(t):
     return warehouse.bowling_stats(t.stg_balls)
 
 
-@query(
-    "w3_dim_player",
+DIM_PLAYER_COLUMNS = (
     "player_id: bigint; player_name nationality: string; date_of_birth: date; player_role: string; "
     "matches_played total_runs total_balls_faced total_fours total_sixes highest_score: bigint; "
     "batting_average career_strike_rate: double; fifties centuries total_wickets: bigint; career_economy: double; "
-    "best_bowling_figures: bigint",
-    f"""SELECT player_id, p.player_name, nationality, date_of_birth, role AS player_role,
+    "best_bowling_figures: bigint"
+)
+DIM_PLAYER_SQL = f"""SELECT player_id, p.player_name, nationality, date_of_birth, role AS player_role,
           coalesce(matches_played, 0) AS matches_played, coalesce(total_runs, 0) AS total_runs,
           coalesce(faced, 0) AS total_balls_faced, coalesce(b.fours, 0) AS total_fours,
           coalesce(b.sixes, 0) AS total_sixes, coalesce(best, 0) AS highest_score,
@@ -90,12 +90,33 @@ def _(t):
         LEFT JOIN (
           SELECT player_name, sum(wickets) AS total_wickets, max(wickets) AS best_wickets,
             {r("CAST(sum(CAST(economy_rate AS DECIMAL(18,2))) AS DOUBLE) / count(economy_rate)")} AS economy
-          FROM ({BOWLING_STATS_SQL}) GROUP BY player_name) w ON p.player_name = w.player_name""",
-)
+          FROM ({BOWLING_STATS_SQL}) GROUP BY player_name) w ON p.player_name = w.player_name"""
+
+
+@query("w3_dim_player", DIM_PLAYER_COLUMNS, DIM_PLAYER_SQL)
 def _(t):
     return warehouse.dim_player(t.stg_players, t.stg_balls)
 
 
+def _older(rows, day: str, **wrong):
+    """An earlier state of a table: rows up to a season, the last of it with values since corrected."""
+    known = rows.where(F.col("season") <= day)
+    last = F.col("season") == F.lit(day)
+    return known.withColumns({c: F.when(last, v).otherwise(F.col(c)).cast(known.schema[c].dataType) for c, v in wrong.items()})
+
+
+@query("w3_dim_player_by_delta", DIM_PLAYER_COLUMNS, DIM_PLAYER_SQL)
+def _(t):
+    # Careers up to 1996, with runs of that season twice what they are, brought up to date by what changed since.
+    balls = t.stg_balls
+    old = summary.player_lines(_older(balls, 1996, runs_scored=F.col("runs_scored") * 2))
+    new = summary.player_lines(balls)
+    careers = summary.CAREERS.partial(old)
+    change = summary.CAREERS.change(old.where("season >= 1996"), new.where("season >= 1996"))
+    merged = summary.CAREERS.merged(careers, change, new)
+    return summary.dim_player(t.stg_players, summary.CAREERS.replaced(careers, merged))
+
+
 TEAM_RECORD_SQL = f"""
   SELECT team AS team_name, count(*) AS total_matches, {cnt("winner = team")} AS total_wins,
     count(*) - count(*) FILTER (WHERE winner = team) AS total_losses,
@@ -114,6 +135,22 @@ def _(t):
     return warehouse.dim_team(t.stg_matches)
 
 
+@query(
+    "w4_team_record_by_delta",
+    "team_name: string; total_matches total_wins total_losses: bigint; win_percentage: double; "
+    "first_season last_season: int; seasons_played: bigint",
+    TEAM_RECORD_SQL,
+)
+def _(t):
+    # Team seasons up to 1996, when all matches of that season were won by the first team, brought up to date.
+    matches = t.stg_matches
+    old, new = summary.team_lines(_older(matches, 1996, winner=F.col("team1"))), summary.team_lines(matches)
+    seasons = summary.TEAM_SEASONS.partial(old)
+    change = summary.TEAM_SEASONS.change(old.where("season >= 1996"), new.where("season >= 1996"))
+    merged = summary.TEAM_SEASONS.merged(seasons, change, new)
+    return summary.team_record(summary.TEAM_SEASONS.replaced(seasons, merged))
+
+
 @query(
     "w5_dim_venue",
     "venue_id: bigint; venue_name city country: string; matches_hosted: bigint; "
@@ -298,6 +335,76 @@ def _(t):
     return history
 
 
+@query(
+    "i1_apply_changes",
+    "match_id: bigint; season innings1_runs version: int",
+    """SELECT match_id, season, innings1_runs + version AS innings1_runs, CAST(version AS INTEGER) AS version
+       FROM (SELECT match_id, season, innings1_runs, CASE WHEN match_id % 3 = 0 THEN 2 WHEN match_id % 5 = 0 THEN 1 ELSE 0 END AS version
+         FROM matches WHERE NOT (match_id % 7 = 0 AND match_id % 3 <> 0))""",
+)
+def _(t):
+    # First loads, a first correction of some, deletions of some, and a second correction that brings rows back.
+    rows = t.stg_matches.select("match_id", "season", "innings1_runs")
+
+    def feed(where, version, gone):
+        runs = (F.col("innings1_runs") + version).alias("innings1_runs")
+        more = F.lit(2 * version + int(gone)).alias("sequence"), F.lit(gone).alias("gone"), F.lit(version).alias("version")
+        return rows.where(where).select("match_id", "season", runs, *more)
+
+    newest_first = [
+        feed("match_id % 3 = 0", 2, False), feed("match_id % 7 = 0", 1, True), feed("match_id % 5 = 0", 1, False), feed("true", 0, False),
+    ]
+    changes = newest_first[0]
+    for part in newest_first[1:]:
+        changes = changes.unionByName(part)
+    return incremental.apply_changes(changes, ["match_id"], "sequence", F.col("gone"))
+
+
+LATE_HISTORY_SQL = f"""
+  WITH v AS (
+    SELECT *, TIMESTAMP '1995-02-01' AS since FROM ({_record_before("1995-02-01")})
+    UNION ALL SELECT *, TIMESTAMP '1996-06-01' FROM ({_record_before("1996-06-01")})
+    UNION ALL SELECT *, TIMESTAMP '1998-01-01' FROM ({_record_before("1998-01-01")})
+    UNION ALL SELECT *, TIMESTAMP '2002-01-01' FROM ({_record_before("2002-01-01")})),
+  changed AS (
+    SELECT *, lag(total_matches) OVER w IS DISTINCT FROM total_matches OR lag(total_wins) OVER w IS DISTINCT FROM total_wins AS is_new
+    FROM v WINDOW w AS (PARTITION BY team_name ORDER BY since))
+  SELECT team_name, total_matches, total_wins, win_percentage, since AS valid_from,
+    lead(since) OVER (PARTITION BY team_name ORDER BY since) AS valid_to
+  FROM changed WHERE is_new"""
+
+
+def _late_history(t):
+    """Team records of three days, and then that of a day between them."""
+    check, history = ["total_matches", "total_wins", "win_percentage"], None
+    day_of = lambda day: F.lit(day).cast("timestamp_ntz")
+    record = lambda day: warehouse.team_record(t.stg_matches.where(F.col("match_date") < day)).select("team_name", *check)
+    for day in ("1995-02-01", "1998-01-01", "2002-01-01"):
+        history = incremental.scd2(history, record(day), "team_name", check, day_of(day))
+    return incremental.with_late_snapshot(
+        history, record("1996-06-01"), "team_name", check, day_of("1996-06-01"), day_of("1998-01-01")
+    )
+
+
+@query("i2_late_snapshot", SCD_COLUMNS, LATE_HISTORY_SQL)
+def _(t):
+    return _late_history(t)
+
+
+@query(
+    "i2_matches_as_of",
+    "match_id: bigint; season: int; team1: string; then_total_matches then_total_wins: bigint; then_win_percentage: double",
+    f"""SELECT h.match_id, h.season, h.team1, total_matches AS then_total_matches, total_wins AS then_total_wins,
+          win_percentage AS then_win_percentage
+        FROM header h LEFT JOIN ({LATE_HISTORY_SQL}) s
+          ON h.team1 = s.team_name AND h.date >= s.valid_from AND (s.valid_to IS NULL OR h.date < s.valid_to)""",
+)
+def _(t):
+    facts = t.stg_matches.select("match_id", "season", "team1", F.col("match_date").cast("timestamp_ntz").alias("played"))
+    values = ["total_matches", "total_wins", "win_percentage"]
+    return incremental.as_of(facts, _late_history(t), "team1", "played", "team_name", values)
+
+
 CAREER_SQL = f"""
   SELECT player_id, p.player_name, nationality, role, coalesce(matches_played, 0) AS matches_played,
     coalesce(total_runs, 0) AS total_runs, coalesce(fours, 0) AS fours, coalesce(sixes, 0) AS sixes,

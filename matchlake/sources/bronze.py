@@ -1,6 +1,5 @@
 """Raw JSON to bronze tables with ingestion metadata."""
 
-from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import UTC, datetime
 from typing import NamedTuple
@@ -10,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from matchlake import schemas
-from matchlake.sources import versions
+from matchlake.sources import changes
 from matchlake.sources.io import read_json_tolerant, write_table
 
 
@@ -19,16 +18,17 @@ class Dataset:
     file: str
     schema: StructType
     source: str
+    key: str
     partition_by: tuple[str, ...] = ()
 
 
 # File names, source labels and layout are fixed values of the published lake.
 DATASETS = {
-    "matches": Dataset("matches.json", schemas.MATCHES, "sample_matches", ("season",)),
-    "ball_events": Dataset("ball_by_ball.json", schemas.BALL_EVENTS, "sample_ball_events", ("season",)),
-    "players": Dataset("players.json", schemas.PLAYERS, "sample_players"),
-    "teams": Dataset("teams.json", schemas.TEAMS, "sample_teams"),
-    "venues": Dataset("venues.json", schemas.VENUES, "sample_venues"),
+    "matches": Dataset("matches.json", schemas.MATCHES, "sample_matches", "match_id", ("season",)),
+    "ball_events": Dataset("ball_by_ball.json", schemas.BALL_EVENTS, "sample_ball_events", "ball_id", ("season",)),
+    "players": Dataset("players.json", schemas.PLAYERS, "sample_players", "player_id"),
+    "teams": Dataset("teams.json", schemas.TEAMS, "sample_teams", "team_id"),
+    "venues": Dataset("venues.json", schemas.VENUES, "sample_venues", "venue_id"),
 }
 
 
@@ -64,20 +64,26 @@ def read_raw(spark: SparkSession, raw_path: str, name: str, lines: bool = True)
     return read_json_tolerant(spark, f"{raw_path}/{spec.file}", spec.schema, lines)
 
 
-def _unseen(rows: DataFrame, stored: DataFrame, fields: Sequence[str]) -> DataFrame:
-    """Rows whose fields no stored row has. Two hashes of the row stand for it; rows of `rows` stay as they are,
-    repeated ones too."""
-    marks = [F.xxhash64(*fields).alias("_h1"), F.xxhash64(F.lit("row"), *fields).alias("_h2")]
-    known = stored.select(*marks).distinct()
-    return rows.select("*", *marks).join(known, ["_h1", "_h2"], "left_anti").drop("_h1", "_h2")
-
-
-def _append(spark: SparkSession, rows: DataFrame, path: str, fields, stamp, partition_by, fmt: str) -> int:
-    if versions.exists(spark, path):
+def _append(spark: SparkSession, rows: DataFrame, path: str, keys, fields, stamp, partition_by, fmt: str) -> int:
+    """Appends the rows that change something. Of the stored table, only the partitions are read that may hold one of
+    the rows' keys, by the index of keys beside it."""
+    marks = changes.with_marks(rows, keys, fields)
+    index = f"{path.rpartition('/')[0]}/_keys/{path.rpartition('/')[2]}"
+    part = partition_by[0] if partition_by else None
+    if changes.exists(spark, index):
         stored = spark.read.format(fmt)
-        stored = stored.load(path) if fmt == "delta" else stored.schema(rows.schema).load(path)
-        rows = _unseen(rows, stored, fields)
-    return write_table(stamp(rows), path, "append", partition_by, fmt)
+        stored = stored.load(path) if fmt == "delta" else stored.schema(stamp(rows).schema).load(path)
+        if part:
+            parts = changes.touched_parts(marks, changes.read_index(spark, index))
+            stored = stored.where(changes.part_name(part).isin(parts))
+        stored = changes.with_marks(stored, keys, fields)
+        marks = changes.changed(marks, stored, "_ingestion_timestamp")
+    # The rows are read once more for the index, so what they are must not change meanwhile.
+    fresh = stamp(marks.drop(*changes.MARKS))
+    written = write_table(fresh, path, "append", partition_by, fmt)
+    if written or not changes.exists(spark, index):
+        changes.add_to_index(changes.with_marks(rows, keys, fields), part, index)
+    return written
 
 
 def ingest(
@@ -89,7 +95,8 @@ def ingest(
     lines: bool = True,
     fmt: str = "parquet",
 ) -> Loaded:
-    """Appends the rows of one dataset that bronze does not have yet, so a row keeps the time of its first load.
+    """Appends the rows of one dataset that differ from the newest stored row of their key, so an unchanged row keeps
+    the time of its load, and a value that returns is a change like any other.
 
     Records that do not parse, or have a value of the wrong type, go to `_quarantine/<name>` with their file.
     """
@@ -101,8 +108,8 @@ def ingest(
         return with_metadata(rows, spec.source, batch_id)
 
     good = good.observe(seen, F.count(F.lit(1)).alias("rows"))
-    new = _append(spark, good, f"{bronze_path}/{name}", spec.schema.fieldNames(), stamp, spec.partition_by, fmt)
-    _append(spark, bad, f"{bronze_path}/_quarantine/{name}", ["value", "file"], stamp, (), fmt)
+    new = _append(spark, good, f"{bronze_path}/{name}", [spec.key], spec.schema.fieldNames(), stamp, spec.partition_by, fmt)
+    _append(spark, bad, f"{bronze_path}/_quarantine/{name}", ["value", "file"], ["value", "file"], stamp, (), fmt)
     return Loaded(int(seen.get["rows"]), new, bad.count())
 
 

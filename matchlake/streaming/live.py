@@ -198,17 +198,31 @@ def start_quarantine(
     return append_sink(malformed(raw, schema), f"{lake}/quarantine/{name}", f"{checkpoints}/quarantine_{name}", every, fmt)
 
 
+def without_redelivery(
+    events: DataFrame, key: str = "event_id", time_column: str = "kafka_timestamp", watermark: str = WATERMARK
+) -> DataFrame:
+    """A stream whose events come once, however often they are delivered. State holds the ids of the watermark's span
+    only; events behind it are left out. Events without an id are told apart by their content."""
+    timed = events.withWatermark(time_column, watermark)
+    rest = F.xxhash64(*[c for c, t in events.dtypes if not t.startswith("map")])
+    known = timed.withColumn("_key", F.coalesce(F.col(key).cast("string"), F.concat(F.lit("#"), rest.cast("string"))))
+    return known.dropDuplicatesWithinWatermark(["_key"]).drop("_key")
+
+
 def start_ball_streams(
     raw: DataFrame,
     lake: str,
     checkpoints: str,
     every: tuple[str | None, str | None] = (BRONZE_TRIGGER, STATS_TRIGGER),
     fmt: str = "parquet",
+    once_within: str | None = None,
 ) -> list[StreamingQuery]:
     """Events to `stream/ball_events` - apart from the batch rows in `bronze/ball_events`, since a streamed folder
-    shows only what its stream wrote -, window statistics, and bad payloads."""
+    shows only what its stream wrote -, window statistics, and bad payloads. once_within, such as "1 day", leaves out
+    events that are delivered again within that span, and those later than it; `matchstate.split_late` keeps these."""
     events = decode(raw)
-    bronze = append_sink(events, f"{lake}/stream/ball_events", f"{checkpoints}/stream_ball_events", every[0], fmt)
+    kept = without_redelivery(events, watermark=once_within) if once_within else events
+    bronze = append_sink(kept, f"{lake}/stream/ball_events", f"{checkpoints}/stream_ball_events", every[0], fmt)
     stats = stats_sink(
         window_stats(events), f"{lake}/gold/live_match_stats", f"{checkpoints}/live_match_stats", every[1], fmt
     )

@@ -142,14 +142,10 @@ def running_state(events: DataFrame, time_column: str = "kafka_timestamp", water
     return labelled.withColumn("match_state", F.when(F.col("closed"), "closed").otherwise(F.col("match_state")))
 
 
-def without_redelivery(events: DataFrame, key: str = "event_id", time_column: str = "kafka_timestamp", watermark: str = live.WATERMARK) -> DataFrame:
-    """A stream whose events come once, however often they are delivered. State holds the ids of the watermark's span
-    only, so an id that returns later than that counts as new. Events without an id are all kept."""
-    timed = events.withWatermark(time_column, watermark)
-    # Without an id each event has its own content as key.
-    rest = F.xxhash64(*[c for c, t in events.dtypes if not t.startswith("map")])
-    known = timed.withColumn("_key", F.coalesce(F.col(key).cast("string"), F.concat(F.lit("#"), rest.cast("string"))))
-    return known.dropDuplicatesWithinWatermark(["_key"]).drop("_key")
+def start_state_stream(raw: DataFrame, lake: str, checkpoints: str, every: str | None = live.STATS_TRIGGER, fmt: str = "parquet") -> StreamingQuery:
+    """Running state of every delivery, redelivered ones once, to `silver/match_state`."""
+    events = live.without_redelivery(live.decode(raw))
+    return live.append_sink(running_state(events), f"{lake}/silver/match_state", f"{checkpoints}/match_state", every, fmt)
 
 
 class LateEvents:

@@ -1,5 +1,6 @@
 """Stateful streams: match totals, redelivery, late events, two feeds reconciled."""
 
+import json
 import random
 from datetime import datetime, timedelta
 
@@ -121,18 +122,39 @@ def test_redelivered_events_come_once(spark, tmp_path):
     files.put(rows[-5:] + nameless)
     files.put(rows[-3:])
     out, checkpoint = str(tmp_path / "out"), str(tmp_path / "cp")
-    appended(matchstate.without_redelivery(files.stream(), watermark="1 hour"), "once", checkpoint, out)
+    appended(live.without_redelivery(files.stream(), watermark="1 hour"), "once", checkpoint, out)
     ids = [r.event_id for r in spark.read.parquet(out).collect()]
     assert sorted(i for i in ids if i) == sorted(r[0] for r in rows) and ids.count(None) == 2
     # Far later the old ids have left the state.
     files.put([("later", "M9", *rows[0][2:-1], START + timedelta(days=1))])
     files.put([("x", "M9", *rows[0][2:-1], START + timedelta(days=1))])
-    query = matchstate.without_redelivery(files.stream(), watermark="1 hour").writeStream.format("parquet").option("path", out)
+    query = live.without_redelivery(files.stream(), watermark="1 hour").writeStream.format("parquet").option("path", out)
     query = query.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination(120)
     assert query.lastProgress["stateOperators"][0]["numRowsTotal"] <= 2
 
 
+def test_state_stream_from_payloads(spark, rocks, tmp_path):
+    """Payloads delivered twice, through decoding and de-duplication, into match states."""
+    _, rows = season(7, overs=1)
+    raw = "value string, timestamp timestamp"
+
+    def message(r):
+        body = dict(zip([c.split()[0] for c in DDL.split(", ")[:-1]], r, strict=False))
+        return json.dumps(body), r[-1]
+
+    files = Files(spark, tmp_path / "in", raw)
+    files.put([message(r) for r in rows] + [message(r) for r in rows[5:9]])
+    files.put([message((*TICK, rows[-1][-1] + timedelta(minutes=5)))])
+    query = matchstate.start_state_stream(files.stream(), str(tmp_path / "lake"), str(tmp_path / "cp"), None)
+    query.awaitTermination(120)
+    assert query.exception() is None
+    got = spark.read.parquet(str(tmp_path / "lake/silver/match_state")).where("NOT closed")
+    # The feed holds no extras, so none of its deliveries is illegal.
+    plain = [(*r[:7], None, None, r[-1]) for r in rows]
+    assert sorted(map(str, got.select(*KEYS).collect())) == expected(spark, plain)
+
+
 def test_late_events_are_kept_apart_and_counted(spark, tmp_path):
     _, rows = season(5, overs=1)
     files = Files(spark, tmp_path / "in")
