@@ -66,11 +66,15 @@ def silver_balls(raw: DataFrame, streamed: DataFrame | None = None) -> DataFrame
     if "_ingestion_timestamp" in raw.columns:
         raw = newest_balls(raw)
     if streamed is not None:
-        late = streamed.join(raw.select("ball_id").distinct(), "ball_id", "left_anti")
-        raw = raw.unionByName(late, allowMissingColumns=True)
+        raw = raw.unionByName(only_streamed(streamed, raw), allowMissingColumns=True)
     return _processed(ball_columns(raw))
 
 
+def only_streamed(streamed: DataFrame, loaded: DataFrame) -> DataFrame:
+    """Streamed deliveries that no load has."""
+    return streamed.join(loaded.select("ball_id").distinct(), "ball_id", "left_anti")
+
+
 def newest_balls(raw: DataFrame) -> DataFrame:
     """Deliveries without the older loads of a ball that was loaded again with other values. Rows of one load stay
     as they are, also those without an id."""

@@ -5,7 +5,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchlake.operators import gold, quality, silver, staging, warehouse
+from matchlake.operators import gold, quality, silver, staging, summary, warehouse
 from matchlake.operators.incremental import newer_than, scd2, table_exists, upsert_table
 from matchlake.sources import versions
 from matchlake.sources.bronze import Loaded, ingest_all, new_batch_id
@@ -69,6 +69,56 @@ def _new_rows(spark: SparkSession, lake: Lake, source: DataFrame, fact: str) ->
     return newer_than(source, lake.read(spark, "warehouse", fact))
 
 
+def warehouse_balls(spark: SparkSession, lake: Lake) -> tuple[DataFrame, DataFrame]:
+    """All staged deliveries, loaded and streamed, and those that the delivery fact does not have yet.
+
+    Loaded rows are told by the high-water mark of their load. Streamed ones have no load time; they are those whose
+    id the fact lacks in their season, so only these seasons of the fact are read. A delivery that both have is
+    the loaded one, and replaces a streamed row that came first.
+    """
+    loaded = silver.newest_balls(lake.read(spark, "bronze", "ball_events"))
+    streamed = streamed_balls(spark, lake)
+    staged = staging.stg_ball_events(loaded)
+    fresh = _new_rows(spark, lake, staged, "fact_ball_events")
+    if streamed is None:
+        return staged, fresh
+    once = silver.only_streamed(streamed, loaded).dropDuplicates(["ball_id"])
+    late = staging.stg_ball_events(once.withColumn("_ingestion_timestamp", F.lit(None).cast("timestamp")))
+    both = staged.unionByName(late)
+    if table_exists(spark, lake.path("warehouse", "fact_ball_events")):
+        seasons = [r[0] for r in late.select("season").distinct().collect()]
+        known = lake.read(spark, "warehouse", "fact_ball_events").where(F.col("season").isin(seasons))
+        late = late.join(known.select("ball_id"), "ball_id", "left_anti")
+    return both, fresh.unionByName(late.select(*fresh.columns))
+
+
+def update_careers(spark: SparkSession, lake: Lake, balls: DataFrame, touched: DataFrame) -> DataFrame:
+    """Brings the players' careers up to date with the matches in `touched` and returns them.
+
+    Match lines of the touched matches are made anew from their deliveries; the careers take the difference to the
+    stored lines, of which only the touched seasons are read. Should a run have died between the two tables, their
+    totals differ and the careers are summed again from the lines.
+    """
+    lines_path, careers_path = lake.path("marts", "player_lines"), lake.path("marts", "player_careers")
+    new = summary.player_lines(balls.join(touched, "match_id", "left_semi"))
+    if not table_exists(spark, careers_path):
+        upsert_table(new, lines_path, ["match_id", "player_name"], "season", "season", lake.fmt, keep_newer=False)
+        careers = summary.CAREERS.partial(read_table(spark, lines_path, lake.fmt))
+    else:
+        stored, held = (read_table(spark, p, lake.fmt) for p in (careers_path, lines_path))
+        seasons = [r[0] for r in new.select("season").distinct().collect()]
+        old = held.where(F.col("season").isin(seasons)).join(touched, "match_id", "left_semi")
+        if not summary.CAREERS.agrees(stored, held):
+            stored = summary.CAREERS.partial(held)
+        after = held.join(touched, "match_id", "left_anti").unionByName(new.select(*held.columns))
+        careers = summary.CAREERS.merged(stored, summary.CAREERS.change(old, new), after)
+    version = F.current_timestamp().alias("_at")
+    upsert_table(careers.select("*", version), careers_path, ["player_name"], "_at", None, lake.fmt)
+    if table_exists(spark, lines_path):
+        upsert_table(new, lines_path, ["match_id", "player_name"], "season", "season", lake.fmt, keep_newer=False)
+    return read_table(spark, careers_path, lake.fmt)
+
+
 def store_team_history(spark: SparkSession, lake: Lake, matches: DataFrame) -> int:
     """Adds today's team records to the stored history as a new version, and returns the rows of the history."""
     path, check = lake.path("warehouse", "scd_team_stats"), ["total_matches", "total_wins", "win_percentage"]
@@ -81,32 +131,37 @@ def store_team_history(spark: SparkSession, lake: Lake, matches: DataFrame) -> i
 
 
 def build_warehouse(spark: SparkSession, lake: Lake) -> dict[str, int]:
-    """Dimensions are rebuilt; facts take only rows loaded since their last run, merged by key."""
-    raw = {n: lake.read(spark, "bronze", n) for n in ("matches", "ball_events", "players")}
-    matches = staging.stg_matches(silver.dedupe_latest(raw["matches"]))
-    balls = staging.stg_ball_events(silver.newest_balls(raw["ball_events"]))
-    players = staging.stg_players(silver.dedupe_latest(raw["players"], "player_id"))
-    dims = {
-        "dim_player": warehouse.dim_player(players, balls),
-        "dim_team": warehouse.dim_team(matches),
-        "dim_venue": warehouse.dim_venue(matches),
-        "dim_match": warehouse.dim_match(matches),
-    }
-    rows = {name: lake.write(df, "warehouse", name) for name, df in dims.items()}
+    """Facts and careers take only deliveries and matches that are new since their last run, loaded or streamed, and
+    what these touch; the small dimensions of teams, venues and matches are rebuilt from the matches."""
+    matches = staging.stg_matches(silver.dedupe_latest(lake.read(spark, "bronze", "matches")))
+    players = staging.stg_players(silver.dedupe_latest(lake.read(spark, "bronze", "players"), "player_id"))
+    balls, new_balls = warehouse_balls(spark, lake)
+    # A match's summary, a player's line and career need all deliveries of the match, and of no other match. Which
+    # matches are touched must be known before the facts take the new rows.
+    touched = new_balls.select("match_id").where("match_id IS NOT NULL").distinct()
+    new_matches = _new_rows(spark, lake, matches, "fact_match_summary")
+    summarised = matches.join(touched.union(new_matches.select("match_id")).distinct(), "match_id", "left_semi")
+    affected = balls.join(touched, "match_id", "left_semi")
+    own = balls.join(summarised.select("match_id"), "match_id", "left_semi")
+    rows: dict[str, int] = {}
 
     def merge(name: str, delta: DataFrame, keys: list[str]) -> None:
         path = lake.path("warehouse", name)
         rows[name] = upsert_table(delta, path, keys, "_loaded_at", "season", lake.fmt)
 
-    rows["scd_team_stats"] = store_team_history(spark, lake, matches)
-    merge("fact_ball_events", warehouse.fact_ball_events(_new_rows(spark, lake, balls, "fact_ball_events")), ["ball_id"])
-    # A match's summary and a player's line need all deliveries of the match, and of no other match.
-    new_matches = _new_rows(spark, lake, matches, "fact_match_summary")
-    own = balls.join(new_matches.select("match_id").distinct(), "match_id", "left_semi")
-    merge("fact_match_summary", warehouse.fact_match_summary(new_matches, own), ["match_id"])
-    touched = _new_rows(spark, lake, balls, "fact_player_performance").select("match_id").distinct()
-    affected = balls.join(touched, "match_id", "left_semi")
+    careers = update_careers(spark, lake, balls, touched)
+    merge("fact_match_summary", warehouse.fact_match_summary(summarised, own), ["match_id"])
     merge("fact_player_performance", warehouse.fact_player_performance(affected), ["match_id", "player_name"])
+    # Last, since what is new is told by what this fact lacks: a run that dies before is done again.
+    merge("fact_ball_events", warehouse.fact_ball_events(new_balls), ["ball_id"])
+    dims = {
+        "dim_player": summary.dim_player(players, careers),
+        "dim_team": warehouse.dim_team(matches),
+        "dim_venue": warehouse.dim_venue(matches),
+        "dim_match": warehouse.dim_match(matches),
+    }
+    rows |= {name: lake.write(df, "warehouse", name) for name, df in dims.items()}
+    rows["scd_team_stats"] = store_team_history(spark, lake, matches)
     return rows
 
 
