@@ -12,9 +12,12 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder the session names in spark.checkpoint.dir."""
+    """A new path in the shared folder the session names in spark.checkpoint.dir. A folder of this machine takes its
+    place only in local mode, where it is shared by all tasks."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="matchlake-llm-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -4,9 +4,14 @@ A line is normalised (lower case, digits to 0, white space folded), hashed, and
 distinct documents that hold it. Lines above the limits are boilerplate and are removed; a document
 that keeps too little is rejected. All of it is DataFrame expressions.
 
-Distinct documents: copies and near copies of one document must not make its own lines look like
-boilerplate. A document is therefore told apart, for each of its lines, by the smallest hash among its
-other lines; documents that agree in it count once.
+Distinct documents: equal texts are one document. A line that at least min_docs different texts of a host
+hold is shared. A text with more than OWN_SHARE of its words in lines that are not shared is a document of
+its own; a text below it is little but shared lines, and all such texts with the same smallest shared line
+count as one. So the lines of a block (menu, header, licence) are all found, however often they come
+together, while a page copied a thousand times with a line changed here or there is one document, or a few.
+Near copies that differ in more than OWN_SHARE of their words count as documents of their own.
+
+The limit is a number of documents, so a line is judged alike in small and large hosts.
 
 Cases: a null or empty text has no words and no lines, so it fails the base rules. Null hosts form one
 host, null ids are ordinary ids, repeated rows are judged alike, other columns are ignored.
@@ -19,6 +24,8 @@ from matchlake.llm.common import BLANKS, join_rows, staged, text_key
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
+# Share of a text's words outside shared lines, from which on it is a document of its own.
+OWN_SHARE = 0.2
 
 
 def line_key(line: Column) -> Column:
@@ -92,25 +99,24 @@ def line_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return staged(counted, "line-statistics")
 
 
-def frequent_lines(stats: DataFrame, min_docs: int, min_share: float) -> DataFrame:
-    """(host, key) of lines above both limits: distinct documents, and share of the host's documents.
+def frequent_lines(stats: DataFrame, min_docs: int) -> DataFrame:
+    """(host, key) of lines that at least min_docs distinct documents of the host hold."""
+    distinct = F.array_distinct("lines")
+    words = F.aggregate(distinct, F.lit(0).cast("bigint"), lambda n, x: n + x["words"])
+    lines = stats.select("host", "text_key", words.alias("all_words"), F.inline(distinct))
+    texts = lines.select("host", "key", "text_key").distinct().groupBy("host", "key").agg(F.count("*").alias("texts"))
+    shared = staged(texts.where(F.col("texts") >= min_docs).select("host", "key"), "shared-lines")
 
-    At least half of the documents with the line must be distinct, else it belongs to a group of copies.
-    """
-    keys = F.sort_array(F.array_distinct("lines.key"))
-    lines = (
-        stats.select("host", keys.alias("_keys"))
-        .withColumn("_low", F.slice("_keys", 1, 2))
-        .select("host", F.explode("_keys").alias("key"), "_low")
-        .withColumn("_other", F.filter("_low", lambda k: k != F.col("key")))
+    held = join_rows(lines, shared, ["host", "key"], "left_semi")
+    by_text = held.groupBy("host", "text_key").agg(
+        F.max("all_words").alias("all_words"), F.collect_set(F.struct("key", "words")).alias("held")
     )
-    lines = lines.select("host", "key", F.coalesce(F.get("_other", F.lit(0)), F.lit("")).alias("other"))
-    contexts = lines.groupBy("host", "key", "other").agg(F.count("*").alias("rows"))
-    counts = contexts.groupBy("host", "key").agg(F.count("*").alias("docs"), F.sum("rows").alias("rows"))
-    hosts = stats.groupBy("host").agg(F.count("*").alias("host_docs"))
-    above = counts.where((F.col("docs") >= min_docs) & (2 * F.col("docs") >= F.col("rows")))
-    above = join_rows(above, hosts, ["host"]).where(F.col("docs") >= min_share * F.col("host_docs"))
-    return staged(above.select("host", "key"), "frequent-lines")
+    own = F.col("all_words") - F.aggregate("held", F.lit(0).cast("bigint"), lambda n, x: n + x["words"])
+    told = F.when(own > OWN_SHARE * F.col("all_words"), F.col("text_key").cast("string"))
+    told = F.coalesce(told, F.array_min("held.key"))
+    documents = by_text.select("host", F.explode("held.key").alias("key"), told.alias("told")).distinct()
+    counts = documents.groupBy("host", "key").agg(F.count("*").alias("docs"))
+    return staged(counts.where(F.col("docs") >= min_docs).select("host", "key"), "frequent-lines")
 
 
 def judge(
@@ -119,7 +125,6 @@ def judge(
     text_col: str = "text",
     host_col: str = "source",
     min_docs: int = 50,
-    min_share: float = 0.005,
     min_kept: float = 0.3,
     min_words: int = 10,
     max_repeat_pct: int = 20,
@@ -127,7 +132,7 @@ def judge(
     """One row per document: statistics, words in removed lines, keys of removed lines, base verdict
     and verdict. min_kept is the share of its words a document must keep."""
     stats = line_statistics(docs, id_col, text_col, host_col)
-    frequent = frequent_lines(stats, min_docs, min_share)
+    frequent = frequent_lines(stats, min_docs)
     lines = stats.select("doc_id", "host", "text_key", F.inline("lines"))
     hit = join_rows(lines, frequent, ["host", "key"], "left_semi")
     # Rows that agree in id, text and host have the same lines removed.
@@ -201,22 +206,20 @@ WITH d AS (
     SELECT w.r, d.source, x.line AS line, left(md5(regexp_replace(regexp_replace(regexp_replace(lower(x.line),
         '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), '[\x20\x09-\x0D]+', ' ', 'g'), '[0-9]', '0', 'g')), 16) AS k
     FROM w JOIN d USING (r), unnest(w.ls) AS x(line)
-), keys AS (
-    SELECT DISTINCT r, source, k FROM lines
-), ranked AS (
-    SELECT *, row_number() OVER (PARTITION BY r ORDER BY k) AS place, count(*) OVER (PARTITION BY r) AS n FROM keys
-), low AS (
-    SELECT r, min(k) FILTER (place = 1) AS k1, min(k) FILTER (place = 2) AS k2 FROM ranked GROUP BY r
+), entries AS (
+    SELECT DISTINCT l.source, md5(d.t) AS text, l.k, len(regexp_extract_all(l.line, '[^\x20\x09-\x0D]+')) AS n
+    FROM lines l JOIN d USING (r)
+), whole AS (
+    SELECT source, text, sum(n) AS n FROM entries GROUP BY source, text
+), held AS (
+    SELECT e.* FROM entries e JOIN (SELECT source, k FROM entries GROUP BY source, k HAVING count(*) >= 50) s
+    ON e.source IS NOT DISTINCT FROM s.source AND e.k = s.k
 ), told AS (
-    SELECT keys.source, keys.k, keys.r, CASE WHEN keys.k = k1 THEN coalesce(k2, '') ELSE k1 END AS other
-    FROM keys JOIN low USING (r)
-), counts AS (
-    SELECT source, k, count(DISTINCT other) AS n, count(*) AS rs FROM told GROUP BY source, k
-), hosts AS (
-    SELECT source, count(*) AS n FROM d GROUP BY source
+    SELECT h.source, h.k, CASE WHEN w.n - sum(h.n) OVER same > 0.2 * w.n THEN h.text ELSE min(h.k) OVER same END AS told
+    FROM held h JOIN whole w ON h.source IS NOT DISTINCT FROM w.source AND h.text = w.text
+    WINDOW same AS (PARTITION BY h.source, h.text)
 ), frequent AS (
-    SELECT c.source, c.k FROM counts c JOIN hosts h ON c.source IS NOT DISTINCT FROM h.source
-    WHERE c.n >= 50 AND 2 * c.n >= c.rs AND c.n >= 0.005 * h.n
+    SELECT source, k FROM told GROUP BY source, k HAVING count(DISTINCT told) >= 50
 ), gone AS (
     SELECT l.r, sum(len(regexp_extract_all(l.line, '[^\x20\x09-\x0D]+'))) AS n
     FROM lines l JOIN frequent f ON l.source IS NOT DISTINCT FROM f.source AND l.k = f.k GROUP BY l.r

@@ -8,7 +8,8 @@ overlaps, each range is sorted, and one sweep keeps the stack of the rules that
 is the longest that fits. Of a URL's probes the longest rule wins; of equal lengths that with the longer
 host; of two verdicts for one rule, block.
 
-Only distinct (host, path) pairs are probed, so a URL that fills a third of the table is one probe.
+Only distinct keys are probed, and each key's rule is joined back to the hosts and paths that have it: all
+root pages under `.com` are the one probe `com//`, so no key range holds more than one row of a key.
 Range bounds come from a sample of SAMPLE keys per range; it decides how even the ranges are, nothing else.
 
 Cases: a null url, or one without "://", has an empty host and path and gets the default verdict unless a
@@ -64,8 +65,8 @@ def _sweep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if not is_probe:
                 stack.append((key, host, path, verdict))
             elif stack:
-                out.append((host, path, *stack[-1][1:]))
-        yield pd.DataFrame(out, columns=["host", "path", "rule_host", "rule_path", "rule_verdict"])
+                out.append((key, *stack[-1][1:]))
+        yield pd.DataFrame(out, columns=["key", "rule_host", "rule_path", "rule_verdict"])
 
 
 def match(urls: DataFrame, rules: DataFrame, parts: int | None = None) -> DataFrame:
@@ -89,7 +90,9 @@ def match(urls: DataFrame, rules: DataFrame, parts: int | None = None) -> DataFr
     key = F.concat(F.array_join(F.slice("_labels", F.lit(1), F.col("_n")), "."), F.lit("/"), F.col("path"))
     probes = staged(probes.select("host", "path", key.alias("key")), "url-probes")
 
-    sample = smallest(probes, F.xxhash64("key", "host"), SAMPLE * parts, probes.count(), "key")
+    probed = staged(probes.select("key").distinct(), "url-keys")
+
+    sample = smallest(probed, F.xxhash64("key"), SAMPLE * parts, probed.count(), "key")
     keys = sorted(r[0] for r in sample.select(F.left("key", F.lit(BOUND_CHARS))).collect())
     bounds = sorted(set(keys[SAMPLE::SAMPLE]))
 
@@ -102,9 +105,10 @@ def match(urls: DataFrame, rules: DataFrame, parts: int | None = None) -> DataFr
         return pd.Series([bisect_left(bounds, k) for k in key], dtype="int32")
 
     none = F.lit(None).cast("string")
-    dealt_probes = probes.select(
-        range_of("key").alias("range"), "key", F.lit(True).alias("is_probe"), "host", "path", none.alias("verdict")
-    )
+    dealt_probes = probed.select(
+        range_of("key").alias("range"), "key", F.lit(True).alias("is_probe"), none.alias("host"), none.alias("path"),
+        none.alias("verdict"),
+    )
     spans = rules.withColumn("_low", range_of("key")).withColumn("_high", range_before(F.concat("key", F.lit(LAST))))
     dealt_rules = spans.select(
         F.explode(F.sequence("_low", "_high")).alias("range"),
@@ -115,7 +119,8 @@ def match(urls: DataFrame, rules: DataFrame, parts: int | None = None) -> DataFr
         "verdict",
     )
     rows = dealt_probes.union(dealt_rules).repartition(parts, "range").sortWithinPartitions("range", "key", "is_probe")
-    found = rows.mapInPandas(_sweep, "host string, path string, rule_host string, rule_path string, rule_verdict string")
+    found = rows.mapInPandas(_sweep, "key string, rule_host string, rule_path string, rule_verdict string")
+    found = probes.join(staged(found, "url-key-rules"), "key")
     best = F.max(
         F.struct(
             (F.length("rule_host") + F.length("rule_path")).alias("size"),

@@ -1,5 +1,6 @@
 """Quality rules, mixing, URL rules, resharding."""
 
+import hashlib
 import random
 import re
 import zlib
@@ -57,6 +58,86 @@ def test_frequent_lines_go_copies_stay(make_docs):
     assert texts[150].text == dict((i, t) for i, t, _ in rows)[150]
 
 
+def lines_of(rng, n, words=12):
+    return [" ".join("".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(words)) for _ in range(n)]
+
+
+@pytest.mark.parametrize("shared,own", [(2, 3), (3, 3), (5, 4), (3, 1)])
+def test_blocks_of_frequent_lines_go_whole(make_docs, shared, own):
+    rng = random.Random(shared * 10 + own)
+    block = lines_of(rng, shared)
+    rows = [(k, "\n".join(block + lines_of(rng, own)), "h") for k in range(70)]
+    rows += [(200 + k, "\n".join(block), "h") for k in range(5)]
+    judged = quality_rules.judge(make_docs(rows)).collect()
+    assert all(r.removed_words == 12 * shared for r in judged)
+    assert all(r.kept == (r.doc_id < 200 and own >= 0.3 * (shared + own)) for r in judged)
+
+
+def brute_kept(rows, min_docs=50):
+    """Verdicts by rows, from sets of distinct documents."""
+
+    def key(line):
+        return re.sub(r"[\x20\x09-\x0D]+", " ", re.sub("[0-9]", "0", line.lower().strip(" \t\n\x0b\x0c\r")))
+
+    def lines(text):
+        return [(key(x), len(WORD.findall(x))) for x in (text or "").split("\n") if WORD.search(x)]
+
+    texts, documents = {}, {}
+    for _, text, host in rows:
+        for k, _ in lines(text):
+            texts.setdefault((host, k), set()).add(text)
+    shared = {k for k, v in texts.items() if len(v) >= min_docs}
+    for _, text, host in rows:
+        held = {(k, n) for k, n in lines(text) if (host, k) in shared}
+        own = sum(n for _, n in set(lines(text)) - held)
+        total = sum(n for _, n in set(lines(text)))
+        first = min((k for k, _ in held), key=lambda k: hashlib.md5(k.encode()).hexdigest(), default=None)
+        for k, _ in held:
+            documents.setdefault((host, k), set()).add(("text", text) if own > 0.2 * total else ("line", first))
+    frequent = {k for k, v in documents.items() if len(v) >= min_docs}
+    out = []
+    for i, text, host in rows:
+        n, _, _, _, repeats = brute_rules(text)
+        gone = sum(w for k, w in lines(text) if (host, k) in frequent)
+        out.append((i, gone, n >= 10 and 100 * repeats <= 20 * n and n - gone >= 0.3 * n))
+    return out
+
+
+def test_verdicts_against_brute_force(make_docs):
+    rng = random.Random(4)
+    pool, rows = lines_of(rng, 6), []
+    template = lines_of(rng, 12)
+    for k in range(400):
+        host = rng.choice(["h", "h", "h", None, "small"])
+        held = rng.sample(pool, rng.randrange(0, 5))
+        rows.append((k, "\n".join(held + lines_of(rng, rng.randrange(0, 4))), host))
+    for k in range(300):  # Near copies: one line of twelve is changed.
+        copy = list(template)
+        copy[rng.randrange(12)] = lines_of(rng, 1)[0]
+        rows.append((1000 + k, "\n".join(copy), "h"))
+    rows += [(2000, None, "h"), (2001, "", None), (2002, rows[0][1], rows[0][2])]
+    rows += [(2003, pool[0], "h")] * 60
+    want = brute_kept(rows)
+    got = [(r.doc_id, r.removed_words, r.kept) for r in quality_rules.judge(make_docs(rows)).collect()]
+    assert sorted(map(str, got)) == sorted(map(str, want))
+    assert all(kept and not gone for i, gone, kept in want if 1000 <= i < 2000)
+    assert any(gone for _, gone, _ in want)
+
+
+def test_one_probe_for_each_key(spark, monkeypatch):
+    pages = [(k, f"https://site{k % 400}.com/") for k in range(1200)] + [(5000, "http://a.net/es/x"), (5001, None)]
+    seen = []
+    sort = url_rules.smallest
+    monkeypatch.setattr(url_rules, "smallest", lambda df, *a: seen.append(df.collect()) or sort(df, *a))
+    rules = spark.createDataFrame(url_rules.RULES, "host string, path string, verdict string")
+    pages = spark.createDataFrame(pages, "page_id long, url string")
+    got = {r.page_id: r for r in url_rules.judge(pages, rules, default="none").collect()}
+    assert all(got[k].rule == "com/" and got[k].verdict == "allow" for k in range(1200))
+    assert (got[5000].rule, got[5000].verdict, got[5001].verdict) == ("net/es/", "block", "none")
+    keys = [r["key"] for r in seen[0]]
+    assert len(keys) == len(set(keys)) and keys.count("com//") == 1
+
+
 @pytest.mark.parametrize("module,table", [(quality_rules, "documents"), (url_rules, "pages")])
 def test_sql(spark, module, table):
     con = duckdb.connect()
