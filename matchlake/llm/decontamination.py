@@ -10,10 +10,15 @@ loses nothing; the alignment removes what it lets through.
 Characters are lower-cased and white space is made a space one by one, so places are those of the text.
 
 The benchmark is the stated query set: it is hashed into blocks of about BLOCK_CHARS characters, one
-block is broadcast at a time, and each meets all documents. A long text is read in overlapping pieces.
+block is broadcast at a time, and each meets all documents. A long text is read in overlapping pieces. Short
+texts are searched side by side, but an alignment never leaves its text.
 
-Cases: null and empty texts match nothing. Null, empty and items under MIN_CHARS characters are ignored,
-since they would match ordinary text; without any item nothing matches. Equal items each match.
+Items under MIN_CHARS characters would match ordinary text with edits, so they must occur exactly, between
+characters that are not letters or digits; those under Q characters must be the whole text but for white
+space at its ends.
+
+Cases: null and empty texts match nothing. Null and blank items are ignored; without any item nothing
+matches. Equal items each match.
 Repeated rows are judged alike; other columns are ignored, and kept by `decontaminate`.
 """
 
@@ -24,6 +29,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from matchlake.llm.common import BLANKS, staged
+
 Q, EDIT_RATE, MIN_CHARS = 10, 0.06, 30
 BLOCK_CHARS = 4_000_000
 # Characters handled at a time.
@@ -53,6 +60,10 @@ def codes(text: str) -> np.ndarray:
     return np.where(points < len(FOLD), FOLD[np.minimum(points, len(FOLD) - 1)], points)
 
 
+def folded(text: str) -> str:
+    return "".join(map(chr, codes(text).tolist())).strip()
+
+
 def gram_hashes(points: np.ndarray) -> np.ndarray:
     """32-bit polynomial hash of each window of Q = 10 characters, from windows of 2, 4 and 8.
 
@@ -75,9 +86,14 @@ class Index:
     """Hashes of the benchmark's q-grams with item and place of each."""
 
     def __init__(self, items: list[tuple[int, str]], edit_rate: float = EDIT_RATE):
+        self.whole: dict[str, list[int]] = {}
+        for i, text in items:
+            if len(text) < Q:
+                self.whole.setdefault(folded(text), []).append(i)
+        items = [(i, text) for i, text in items if len(text) >= Q]
         self.ids = [i for i, _ in items]
         self.items = [codes(text) for _, text in items]
-        self.edits = [int(edit_rate * len(x)) for x in self.items]
+        self.edits = [int(edit_rate * len(x)) if len(x) >= MIN_CHARS else 0 for x in self.items]
         self.bounds = np.array([max(1, len(x) - Q + 1 - k * Q) for x, k in zip(self.items, self.edits, strict=True)])
         grams = [gram_hashes(x) for x in self.items]
         hashes = np.concatenate([np.empty(0, np.uint32), *grams])
@@ -114,14 +130,15 @@ class Index:
         for key in keys[full].tolist():
             yield key // bands, key % bands * self.step - self.longest
 
-    def align(self, item: int, points: np.ndarray, diagonal: int) -> tuple[int, int, int] | None:
+    def align(self, item: int, points: np.ndarray, diagonal: int, low: int, high: int) -> tuple[int, int, int] | None:
         """(start, end, edits) of the best alignment of the item inside the band, within its edits.
 
+        Characters outside places low to high equal none, so they are no better than leaving out the item's.
         A cell holds edits and start as one number, so one minimum decides both.
         """
         pattern, width = self.items[item], 2 * self.step
-        lo = max(0, diagonal)
-        hi = min(len(points), diagonal + width + len(pattern))
+        lo = max(low, diagonal)
+        hi = max(lo, min(high, diagonal + width + len(pattern)))
         text = np.full(width + len(pattern), 0xFFFFFFFF, np.uint32)
         text[lo - diagonal : hi - diagonal] = points[lo:hi]
         one = 1 << 32
@@ -148,23 +165,38 @@ class Index:
         start = diagonal + int(row[best] & (one - 1))
         return start, diagonal + best + len(pattern), int(row[best] >> 32)
 
-    def matches(self, points: np.ndarray) -> list[tuple[int, int, int, int]]:
-        """(item, start, end, edits), the best of those that overlap."""
+    def matches(self, points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[tuple[int, int, int, int, int]]:
+        """(part, item, start, end, edits), the best of those that overlap. Parts are places starts to ends."""
         found = set()
         seen = {}
         for item, diagonal in self.candidates(points):
-            # A band that holds the diagonals of the last band's alignment would find it again.
-            if item in seen and diagonal + self.edits[item] <= seen[item] < diagonal + self.step:
-                continue
-            if hit := self.align(item, points, diagonal):
-                seen[item] = hit[0]
-                found.add((item, hit[2], max(0, hit[0]), min(hit[1], len(points))))
-        kept: dict[int, list] = {}
-        for item, edits, start, end in sorted(found):
-            spans = kept.setdefault(item, [])
+            size, edits = len(self.items[item]), self.edits[item]
+            first = max(0, int(np.searchsorted(starts, diagonal, "right")) - 1)
+            last = int(np.searchsorted(starts, diagonal + 2 * self.step + size))
+            for part in range(first, last):
+                low, high = int(starts[part]), int(ends[part])
+                if high - low < size - edits:
+                    continue
+                # A band that holds the diagonals of the last band's alignment would find it again.
+                before = seen.get((part, item))
+                if before is not None and diagonal + edits <= before < diagonal + self.step:
+                    continue
+                if hit := self.align(item, points, diagonal, low, high):
+                    seen[part, item] = hit[0]
+                    found.add((part, item, hit[2], max(low, hit[0]), min(hit[1], high)))
+        kept: dict[tuple[int, int], list] = {}
+        for part, item, edits, start, end in sorted(found):
+            spans = kept.setdefault((part, item), [])
             if all(end <= s or start >= e for s, e, _ in spans):
                 spans.append((start, end, edits))
-        return [(item, s, e, n) for item, spans in kept.items() for s, e, n in spans]
+        return [(part, item, s, e, n) for (part, item), spans in kept.items() for s, e, n in spans]
+
+    def stands_alone(self, item: int, text: str, start: int, end: int) -> bool:
+        """Whether a short item is not part of longer words; longer items need not be."""
+        if len(self.items[item]) >= MIN_CHARS:
+            return True
+        before, after = text[max(0, start - 1) : start + 1], text[end - 1 : end + 1]
+        return not (len(before) > 1 and before.isalnum()) and not (len(after) > 1 and after.isalnum())
 
     def search(self, texts: list[str | None]) -> list[list[tuple]]:
         """For each text (item_id, start, end, edits) rows by place."""
@@ -176,14 +208,14 @@ class Index:
             nonlocal group, size
             if not group:
                 return
-            # Texts are parted by a character that no item has.
             joined = codes(BREAK.join(part for _, _, part in group))
-            starts = np.cumsum([0, *[len(part) + 1 for _, _, part in group]])
-            for item, start, end, edits in self.matches(joined):
-                k = int(np.searchsorted(starts, (start + end) // 2, "right")) - 1
-                row, offset, part = group[k]
-                lo, hi = max(start - int(starts[k]), 0), min(end - int(starts[k]), len(part))
-                out[row].add((self.ids[item], offset + lo, offset + hi, edits))
+            starts = np.cumsum([0, *[len(part) + 1 for _, _, part in group]])[:-1]
+            ends = starts + [len(part) for _, _, part in group]
+            for k, item, start, end, edits in self.matches(joined, starts, ends):
+                row, offset, _ = group[k]
+                start, end = offset + start - int(starts[k]), offset + end - int(starts[k])
+                if self.stands_alone(item, texts[row], start, end):
+                    out[row].add((self.ids[item], start, end, edits))
             group, size = [], 0
 
         if self.items:
@@ -195,13 +227,19 @@ class Index:
                     if size >= PIECE:
                         flush()
             flush()
+        if self.whole:
+            for row, text in enumerate(texts):
+                inner = (text or "").strip()
+                if 0 < len(inner) < Q:
+                    start = text.index(inner)
+                    out[row].update((i, start, start + len(inner), 0) for i in self.whole.get(folded(inner), ()))
         return [sorted(rows, key=lambda r: (r[1], r[2], r[3], str(r[0]))) for rows in out]
 
 
 def blocks(benchmark: DataFrame, item_col: str, text_col: str, block_chars: int) -> Iterator[list[tuple[int, str]]]:
     """The benchmark in blocks of about block_chars characters, by hash."""
     items = benchmark.select(F.col(item_col).cast("bigint").alias("item_id"), F.col(text_col).alias("text"))
-    items = items.where(F.length("text") >= MIN_CHARS)
+    items = items.where(F.length(F.btrim("text", F.lit(BLANKS))) > 0)
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     count = -(-total // block_chars)
     for n in range(count):
@@ -209,9 +247,8 @@ def blocks(benchmark: DataFrame, item_col: str, text_col: str, block_chars: int)
         yield sorted(((r[0], r[1]) for r in mine.collect()), key=lambda r: (str(r[0]), r[1]))
 
 
-def _searcher(spark, index: Index):
-    """Search as a column function. The index is broadcast as plain arrays, once."""
-    parts = spark.sparkContext.broadcast(vars(index))
+def _searcher(parts):
+    """Search as a column function over an index that is broadcast as plain arrays."""
 
     @F.pandas_udf(MATCH)
     def search(texts: pd.Series) -> pd.Series:
@@ -227,13 +264,34 @@ def with_matches(
     docs: DataFrame, benchmark: DataFrame, name: str, text_col="text", item_col="item_id", item_text_col="text",
     edit_rate: float = EDIT_RATE, block_chars: int = BLOCK_CHARS,
 ) -> DataFrame:
-    """Adds the matches of each document as an array."""
-    found = [
-        _searcher(docs.sparkSession, Index(items, edit_rate))(F.col(text_col))
-        for items in blocks(benchmark, item_col, item_text_col, block_chars)
-    ]
-    none = F.array().cast(MATCH)
-    return docs.withColumn(name, F.concat(none, *found) if found else none)
+    """Adds the matches of each document as an array.
+
+    Of several blocks, each but the last is done before the next is read: the matches of its texts that
+    have any are written, and its broadcast is dropped. They are joined to the documents by text at the end.
+    """
+    spark = docs.sparkSession
+    none, before, index = F.array().cast(MATCH), None, None
+    for items in blocks(benchmark, item_col, item_text_col, block_chars):
+        if index is not None:
+            texts = docs.select(F.md5(F.col(text_col).cast("binary")).alias("_text"), F.col(text_col).alias("_whole"))
+            # Else the filter would search the texts once more.
+            search = _searcher(index).asNondeterministic()
+            found = texts.select("_text", search("_whole").alias("_found")).where(F.size("_found") > 0)
+            found = staged(found, "benchmark-matches")
+            before = found if before is None else before.union(found)
+            index.destroy()
+        index = spark.sparkContext.broadcast(vars(Index(items, edit_rate)))
+    if index is None:
+        return docs.withColumn(name, none)
+    search = _searcher(index)
+    if before is None:
+        return docs.withColumn(name, search(F.col(text_col)))
+    # Equal texts have equal matches in a block; the set has them once.
+    before = before.groupBy("_text").agg(F.flatten(F.collect_set("_found")).alias("_before"))
+    packed = docs.select(F.struct(*docs.columns).alias("_doc"), F.md5(F.col(text_col).cast("binary")).alias("_key"))
+    joined = packed.join(before, F.col("_key") == F.col("_text"), "left")
+    found = F.concat(F.coalesce("_before", none), search(F.col("_doc")[text_col])).alias(name)
+    return joined.select(*[F.col("_doc")[c].alias(c) for c in docs.columns], found)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **options) -> DataFrame:

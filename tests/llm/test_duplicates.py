@@ -132,6 +132,42 @@ def test_decontamination_against_brute_force(spark, make_docs, hostile):
     assert decontamination.decontaminate(docs.limit(0), bench).count() == 0
 
 
+def test_alignment_stays_in_its_text():
+    """An item cut at its middle lies in no text, whatever stands beside it."""
+    rng = random.Random(3)
+    item = "".join(rng.choice("abcdefgh ") for _ in range(200))
+    index = decontamination.Index([(1, item)])
+    halves = ["start " * 20 + item[:100], item[100:] + " end" * 20]
+    assert index.search(halves) == [[], []]
+    assert index.search([halves[0], item, halves[1], None, "", item[:97] + item[100:]]) == [
+        [], [(1, 0, 200, 0)], [], [], [], [(1, 0, 197, 3)],
+    ]
+    for k in range(2, 199, 7):
+        cut = [item[:k], item[k:]]
+        alone = [index.search([part])[0] for part in cut]
+        assert index.search(cut) == alone and index.search(["x " * 9, *cut, "y"]) == [[], *alone, []]
+
+
+def test_short_items_match_exactly(spark, make_docs, monkeypatch):
+    items = [(1, "A short benchmark item"), (2, " Yes "), (3, "yes"), (4, None), (5, " \n"), (6, "0123456789")]
+    texts = {
+        10: "So: a SHORT benchmark\nitem, here.", 11: "a short benchmark items", 12: "a short benchmark itm",
+        13: "yes", 14: "oh yes", 15: "\tYES\n", 16: "x0123456789", 17: "x 0123456789", 18: "", 19: None,
+        20: "0123456789",
+    }
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    docs = make_docs([(i, t, "s") for i, t in texts.items()])
+    want = {(10, 1, 4, 26), (13, 2, 0, 3), (13, 3, 0, 3), (15, 2, 1, 4), (15, 3, 1, 4), (17, 6, 2, 12), (20, 6, 0, 10)}
+    for chars in (10_000, 8):
+        found = decontamination.with_matches(docs, bench, "found", block_chars=chars)
+        assert found.columns == [*docs.columns, "found"]
+        found = found.selectExpr("doc_id as d", "inline(found)").collect()
+        assert {(r.d, r.item_id, r.start, r.end) for r in found} == want and len(found) == len(want)
+    index = decontamination.Index([(6, "0123456789")])
+    monkeypatch.setattr(decontamination, "PIECE", 5)
+    assert index.search(["x0123456789", "-0123456789-"]) == [[], [(6, 1, 11, 0)]]
+
+
 def test_long_text_in_pieces(monkeypatch):
     item = "".join(random.Random(1).choice("abcdefgh") for _ in range(200))
     index = decontamination.Index([(1, item)])
