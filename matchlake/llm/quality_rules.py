@@ -101,9 +101,14 @@ def line_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def frequent_lines(stats: DataFrame, min_docs: int) -> DataFrame:
     """(host, key) of lines that at least min_docs distinct documents of the host hold."""
-    distinct = F.array_distinct("lines")
-    words = F.aggregate(distinct, F.lit(0).cast("bigint"), lambda n, x: n + x["words"])
-    lines = stats.select("host", "text_key", words.alias("all_words"), F.inline(distinct))
+    # Key and words as one string: arrays of strings are made distinct by hash, those of structs pair by pair.
+    packed = F.transform("lines", lambda x: F.concat(x["key"], x["words"].cast("string")))
+    lines = stats.select("host", "text_key", F.array_distinct(packed).alias("_lines"))
+    all_words = F.aggregate("_lines", F.lit(0).cast("bigint"), lambda n, x: n + F.substr(x, F.lit(17)).cast("bigint"))
+    lines = lines.select("host", "text_key", all_words.alias("all_words"), F.explode("_lines").alias("_line")).select(
+        "host", "text_key", "all_words", F.left("_line", F.lit(16)).alias("key"),
+        F.substr("_line", F.lit(17)).cast("bigint").alias("words"),
+    )
     texts = lines.select("host", "key", "text_key").distinct().groupBy("host", "key").agg(F.count("*").alias("texts"))
     shared = staged(texts.where(F.col("texts") >= min_docs).select("host", "key"), "shared-lines")
 
