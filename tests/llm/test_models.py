@@ -99,8 +99,12 @@ def test_each_id_scored_once_and_sums_to_one():
 def test_spelling_is_unique():
     ranks = attention_lm.read_ranks(attention_lm.VOCABULARY)
     words = [w.encode() for w in ("the", "there", "therein", "é", "a" * 1000, "ñandú", "x")]
-    spell = attention_lm.Spelling(ranks, attention_lm.choose_pieces(ranks, ["the there therein ñandú"]))
-    spelled = [spell(w) for w in words]
+    pieces = attention_lm.choose_pieces({(p, final): 1 for p in (b"the", b"there", b"in") for final in (True, False)})
+    ids, sizes = attention_lm.Spelling(ranks, pieces).spell_all([*words, b"", b"the"])
+    spelled = np.split(ids, np.cumsum(sizes)[:-1])
+    assert spelled.pop().tolist() == [pieces[b"the", True]] and spelled.pop().tolist() == [attention_lm.END]
+    spelled = [tuple(s.tolist()) for s in spelled]
+    assert spelled[0] == (pieces[b"the", True],) and spelled[-1] == (ord("x") + 256,)
     for k, a in enumerate(spelled):
         assert all(a != b[: len(a)] for j, b in enumerate(spelled) if j != k)
 
@@ -155,4 +159,4 @@ def test_all_are_registered():
     import __spark_entry__
 
     assert set(catalog.QUERIES) | {"pipeline"} <= set(__spark_entry__.queries())
-    assert len({name.split("_")[0] for name in catalog.QUERIES}) == 10
+    assert len({name.split("_")[0] for name in catalog.QUERIES}) == 13
