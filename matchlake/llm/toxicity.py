@@ -1,8 +1,9 @@
 """Toxicity by weak supervision: voters, a generative label model, a linear classifier.
 
 Voters. Words and word beginnings are counted over a bounded sample of labelled documents; those that
-lean to a class beyond chance are put into lexicons by kind and rank; copies of a document count once. A lexicon votes for its class where a text
-holds one of its entries and abstains elsewhere; one voter speaks against where no toxic entry occurs;
+lean to a class beyond chance are put into lexicons by kind and rank. All documents of the sample count; near copies
+(equal smallest hashes, and 0.8 of their runs of three words shared with the first of them) share the weight of one
+document. A lexicon votes for its class where a text holds one of its entries and abstains elsewhere; one voter speaks against where no toxic entry occurs;
 pattern voters look at shouting, repeated marks and sentences aimed at the reader.
 
 Label model. The voters' votes are explained by a hidden class: expectation-maximisation estimates, for each
@@ -27,7 +28,7 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType
 
@@ -36,6 +37,8 @@ from matchlake.llm.labels import labelled_sample, remainder, sigmoid
 
 PARTS, HELD_OUT, THRESHOLD = 4, 2, 0.3
 SAMPLE = (6000, 3000)
+# Share of common runs from which documents are near copies.
+SAME = 0.8
 MAX_ENTRIES, MIN_DOCS = 4000, 3
 # Votes of one side that a factor tells apart.
 MOST_VOTES = 4
@@ -75,42 +78,46 @@ def pattern_hits(texts: pd.Series) -> pd.Series:
 
 
 @F.pandas_udf(ArrayType(LongType()))
-def sketch(texts: pd.Series) -> pd.Series:
-    """Smallest hashes of a text's runs of three words, by four hash functions."""
+def runs(texts: pd.Series) -> pd.Series:
+    """Distinct hashes of a text's runs of three words; of all its words where there are fewer."""
 
     def of(text: str) -> list[int]:
         words = text.lower().split()
-        runs = {" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))}
-        hashes = np.array([xxhash.xxh3_64_intdigest(r) for r in runs], np.uint64)
-        return [int((hashes * np.uint64(m)).min() >> np.uint64(1)) for m in (1, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
+        found = {" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))}
+        return [xxhash.xxh3_64_intdigest(r) >> 1 for r in found]
 
     return pd.Series([of(t) for t in texts])
 
 
-def without_copies(sample: DataFrame) -> DataFrame:
-    """One document of each group of copies and near copies, whose words would else count many times."""
-    taken: set = set()
-    kept = []
-    for doc_id, marks in sample.select("doc_id", sketch("text").alias("marks")).orderBy("doc_id").collect():
-        here = set(enumerate(marks))
-        if not here & taken:
-            kept.append((doc_id,))
-        taken |= here
-    ids = sample.sparkSession.createDataFrame(kept, sample.select("doc_id").schema)
-    return staged(sample.join(F.broadcast(ids), "doc_id"), "distinct-sample")
+def weighted(sample: DataFrame) -> DataFrame:
+    """The sample with a weight per document: one over the number of its near copies, itself included.
 
+    Documents are compared with the first one that has the same smallest hash under four hash functions; one that
+    shares less than SAME of the runs with it counts as a document of its own.
+    """
+    smallest = F.array(*[F.array_min(F.transform("runs", lambda h, k=k: F.xxhash64(h, F.lit(k)))) for k in range(4)])
+    marked = staged(sample.withColumn("runs", runs("text")).withColumn("marks", smallest), "sample-runs")
+    first = marked.groupBy("marks").agg(F.min_by("runs", "doc_id").alias("first_runs"), F.min("doc_id").alias("first"))
+    both = F.size(F.array_intersect("runs", "first_runs"))
+    near = both >= SAME * (F.size("runs") + F.size("first_runs") - both)
+    owned = marked.join(first, "marks").withColumn("group", F.when(near, F.col("first")).otherwise(F.col("doc_id")))
+    share = 1 / F.count("*").over(Window.partitionBy("group"))
+    return staged(owned.select("doc_id", "label", "text", share.alias("weight")), "weighted-sample")
 
-def lexicon(sample: DataFrame, shares: dict[int, int]) -> pd.DataFrame:
+
+def lexicon(sample: DataFrame, shares: dict[int, float]) -> pd.DataFrame:
     """The MAX_ENTRIES entries that separate the classes best: entry, documents by class, lean."""
-    seen = sample.select("label", F.explode(entries_of("text")).alias("entry"))
-    counts = seen.groupBy("entry").agg(F.sum(1 - F.col("label")).alias("n0"), F.sum("label").alias("n1"))
+    # Weights in whole millionths, so that sums do not depend on their order.
+    seen = sample.select("label", F.round(F.col("weight") * 1e6).cast("long").alias("w"), F.explode(entries_of("text")).alias("entry"))
+    of = {f"n{k}": F.sum(F.when(F.col("label") == k, F.col("w")).otherwise(0)) / 1e6 for k in (0, 1)}
+    counts = seen.groupBy("entry").agg(*[value.alias(name) for name, value in of.items()])
     # Log-likelihood ratio of the entry's counts against the classes' shares of the sample.
     n0, n1, p1 = F.col("n0"), F.col("n1"), shares[1] / (shares[0] + shares[1])
     n = n0 + n1
     part = F.when(n1 > 0, n1 * F.log(n1 / (n * p1))).otherwise(0.0)
     part = part + F.when(n0 > 0, n0 * F.log(n0 / (n * (1 - p1)))).otherwise(0.0)
     lean = F.log((n1 + 0.5) / (shares[1] + 1.0) / ((n0 + 0.5) / (shares[0] + 1.0)))
-    ranked = counts.where(n >= MIN_DOCS).withColumns({"evidence": 2 * part, "lean": lean})
+    ranked = counts.where(n >= MIN_DOCS - 1e-3).withColumns({"evidence": 2 * part, "lean": lean})
     # Among so many entries chance gives about one with more evidence than this.
     least = 2 * np.log(max(ranked.count(), 2))
     return ranked.where(F.col("evidence") >= least).orderBy(F.desc("evidence"), "entry").limit(MAX_ENTRIES).toPandas()
@@ -145,16 +152,17 @@ class LabelModel:
     def __init__(self, prior: float):
         self.prior = prior
 
-    def fit(self, v: np.ndarray, rounds: int = 30) -> np.ndarray:
+    def fit(self, v: np.ndarray, weight: np.ndarray | None = None, rounds: int = 30) -> np.ndarray:
         """Posterior of the class. Voters that nearly copy each other have one voice from the start; those
         still correlated within the classes are joined after the first fit."""
-        groups = self.correlated(v, [np.ones(len(v))], COPIED)
+        self.weight = np.ones(len(v)) if weight is None else weight
+        groups = self.correlated(v, [self.weight], COPIED)
         voice = np.zeros(len(v))
         for group in groups:
             for_, against = ((v[:, group] == value).sum(1) for value in (2, 1))
             voice += (for_ - against) / np.maximum(for_ + against, 1)
         post = self._em(v, groups, sigmoid(voice), rounds)
-        return self._em(v, self.correlated(v, [post, 1 - post], CORRELATED, groups), post, rounds)
+        return self._em(v, self.correlated(v, [self.weight * post, self.weight * (1 - post)], CORRELATED, groups), post, rounds)
 
     def _em(self, v: np.ndarray, groups: list[list[int]], post: np.ndarray, rounds: int) -> np.ndarray:
         joint = []
@@ -166,8 +174,8 @@ class LabelModel:
             self.tables = []
             for code in joint:
                 n = (MOST_VOTES + 1) ** 2
-                on = np.bincount(code, post, n) + 0.1
-                off = np.bincount(code, 1 - post, n) + 0.1
+                on = np.bincount(code, self.weight * post, n) + 0.1
+                off = np.bincount(code, self.weight * (1 - post), n) + 0.1
                 ratio = np.log(on / on.sum()) - np.log(off / off.sum())
                 self.tables.append(ratio)
                 logit += ratio[code]
@@ -208,15 +216,17 @@ class LabelModel:
         return list(groups.values())
 
 
-def linear(held: list[list[int]], target: np.ndarray, size: int, steps: int = 300, ridge: float = 2e-4):
-    """Bias and weights of a logistic regression on the entries held, for soft labels, by Adam."""
+def linear(held: list[list[int]], target: np.ndarray, weight: np.ndarray, size: int, steps: int = 300, ridge: float = 2e-4):
+    """Bias and weights of a logistic regression on the entries held, for soft labels of weighted rows, by Adam."""
+    weight = weight / weight.sum()
+    mean = float(weight @ target)
     rows = np.repeat(np.arange(len(held)), [len(x) for x in held])
     cols = np.concatenate([np.array(x, np.int64) for x in held]) if len(rows) else np.empty(0, np.int64)
     w, m, s = (np.zeros(size + 1) for _ in range(3))
-    w[-1] = np.log((target.mean() + 1e-3) / (1 - target.mean() + 1e-3))
+    w[-1] = np.log((mean + 1e-3) / (1 - mean + 1e-3))
     for t in range(1, steps + 1):
         p = sigmoid(np.bincount(rows, w[cols], len(held)) + w[-1])
-        r = (p - target) / len(held)
+        r = (p - target) * weight
         grad = np.append(np.bincount(cols, r[rows], size), r.sum())
         grad[:-1] += ridge * w[:-1] / 10
         m, s = 0.9 * m + 0.1 * grad, 0.999 * s + 0.001 * grad**2
@@ -256,8 +266,8 @@ class Holder:
 
 
 def fit(sample: DataFrame, base_rate: float) -> dict | float:
-    sample = without_copies(sample)
-    shares = {r[0]: r[1] for r in sample.groupBy("label").count().collect()}
+    sample = weighted(sample)
+    shares = {r[0]: float(r[1]) for r in sample.groupBy("label").agg(F.sum("weight")).collect()}
     if len(shares) < 2:
         return float(next(iter(shares), 0))
     words = lexicon(sample, shares)
@@ -272,15 +282,16 @@ def fit(sample: DataFrame, base_rate: float) -> dict | float:
         holder = Holder(set(known), toxic)
         return pd.Series([sorted(known[e] for e in holder(t)) for t in texts])
 
-    rows = sample.orderBy("doc_id").select("label", held_entries("text").alias("held"), pattern_hits("text").alias("hits"))
+    rows = sample.orderBy("doc_id").select("weight", held_entries("text").alias("held"), pattern_hits("text").alias("hits"))
     rows = rows.toPandas()
     held = [set(x) for x in rows["held"]]
     hits = np.array(rows["hits"].tolist(), np.int64).reshape(len(rows), len(PATTERNS))
     lexicons = voters(words) + [(1, {known[mark]}) for mark, _, _ in MARKS]
     v = votes(held, hits, lexicons)
-    prior = shares[1] / len(rows)
-    post = LabelModel(prior).fit(v)
-    bias, weights = linear([sorted(x) for x in held], post, len(names))
+    prior = shares[1] / (shares[0] + shares[1])
+    weight = rows["weight"].to_numpy()
+    post = LabelModel(prior).fit(v, weight)
+    bias, weights = linear([sorted(x) for x in held], post, weight, len(names))
     # The sample holds the classes in other shares than the corpus.
     shift = np.log(base_rate / (1 - base_rate)) - np.log(prior / (1 - prior))
     kept = {e: float(weights[k]) for e, k in known.items()}
