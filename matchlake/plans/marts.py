@@ -4,10 +4,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from matchlake.functions import metrics as m
-from matchlake.operators import incremental, quality, serving, summary, warehouse
+from matchlake.operators import incremental, quality, serving, sketches, summary, warehouse
 from matchlake.plans.base import cnt, query, r
 from matchlake.plans.lake import STG_MATCHES_SQL
 from matchlake.schemas import LIVE_BALL_EVENT
+from matchlake.sources import payloads
 from matchlake.sources.bronze import with_metadata
 from matchlake.streaming import live
 
@@ -864,3 +865,28 @@ def _(t):
 def _(t):
     states = t.live.select("match_id", "event_id", "innings", "over", "ball", "total_runs", "total_wickets")
     return live.latest_state(states, ("innings", "over", "ball", "event_id"))
+
+
+# Exact below 2^lg players, an estimate beyond; the SQL counts exactly.
+@query(
+    "k2_distinct_players_by_sketch",
+    "season: int; batsman bowler: bigint",
+    """SELECT season, count(DISTINCT batsman) AS batsman, count(DISTINCT bowler) AS bowler FROM balls GROUP BY season
+       UNION ALL SELECT NULL, count(DISTINCT batsman), count(DISTINCT bowler) FROM balls""",
+)
+def _(t):
+    names, lg = ["batsman", "bowler"], 20
+    seasons = sketches.distinct_sketches(t.balls, ["season"], names, lg)
+    whole = sketches.merge_distinct(seasons, [], names, lg).withColumn("season", F.lit(None).cast("int"))
+    return sketches.distinct_counts(seasons.unionByName(whole), names)
+
+
+@query(
+    "t1_payload_fields",
+    "field type: string; payloads: bigint",
+    """SELECT field, CASE json_type(props, '$.' || field) WHEN 'UBIGINT' THEN 'BIGINT' WHEN 'VARCHAR' THEN 'STRING'
+         ELSE json_type(props, '$.' || field) END AS type, count(*) AS payloads
+       FROM (SELECT props, unnest(json_keys(props)) AS field FROM events WHERE props IS NOT NULL) GROUP BY 1, 2""",
+)
+def _(t):
+    return payloads.fields(payloads.with_variant(t.source("events"), "props"))
