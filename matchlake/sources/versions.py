@@ -8,6 +8,7 @@ commit after the next.
 
 import json
 import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,7 +74,6 @@ def write_files(df: DataFrame, path: str, partition_by: str | None) -> dict[str,
     placed = df.withColumn(PART, part_of(partition_by)).hint("rebalance", PART)
     placed.write.partitionBy(PART).parquet(f"{path}/{data}")
     folder, storage = _storage(spark, f"{path}/{data}")
-    unquote = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
     found = {}
     for entry in storage.listStatus(folder):
         name = entry.getPath().getName()
