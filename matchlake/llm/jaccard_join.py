@@ -316,8 +316,8 @@ def candidate_sets(docs: DataFrame, rows: DataFrame) -> DataFrame:
     texts = docs.select("text")
     total = rows.agg(F.sum("n")).first()[0] or 0
     counts = staged(shared_counts(texts, total // 4, "probe"), "shared-probes")
-    # A set under five tokens is similar to equal sets only.
-    sets = rows.where("n >= 5").groupBy("node").agg(
+    # A set under four tokens is similar to equal sets only; one of four also to those of five that hold it.
+    sets = rows.where("n >= 4").groupBy("node").agg(
         F.first("set_key").alias("set_key"), F.first("n").alias("n"), F.min("text_key").alias("text_key")
     )
     first = staged(_screened(sets, counts, probe_least(F.col("n"))), "screened-sets")
