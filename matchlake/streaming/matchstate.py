@@ -107,13 +107,16 @@ class MatchTotals(StatefulProcessor):
         return out
 
 
-def running_state(events: DataFrame, time_column: str = "kafka_timestamp", watermark: str = live.WATERMARK, idle: str = IDLE) -> DataFrame:
+def running_state(
+    events: DataFrame, time_column: str = "kafka_timestamp", watermark: str | None = live.WATERMARK, idle: str = IDLE
+) -> DataFrame:
     """Deliveries of a stream with running totals, target and match state, in the order of play, appended once the
     watermark has passed them; and one closed row per innings of a match that was idle. Deliveries that come
     after the watermark are left out here, see `split_late`. Those without a match are too.
 
     events: ball_id or event_id, match_id, innings, over, ball, runs_scored, is_wicket, and extras and extras_type
-    if the feed has them. The state store must be RocksDB (`live.STATE_STORE_CONF`).
+    if the feed has them. The state store must be RocksDB (`live.STATE_STORE_CONF`). watermark: None if the time column,
+    a timestamp, has one already; Spark allows no second one.
     """
     idle_ms = int(pd.Timedelta(idle).total_seconds() * 1000)
     has = events.columns
@@ -124,7 +127,8 @@ def running_state(events: DataFrame, time_column: str = "kafka_timestamp", water
         *[(F.col(c) if c in has else F.lit(None)).cast(t).alias(c) for c, t in (("extras", "int"), ("extras_type", "string"))],
         "runs_scored",
         "is_wicket",
-        F.col(time_column).cast("timestamp").alias("event_time"),
+        # A cast column would be without the watermark it has.
+        (F.col(time_column) if watermark is None else F.col(time_column).cast("timestamp")).alias("event_time"),
     )
     timed = shaped.where(F.col("match_id").isNotNull() & F.col("event_time").isNotNull())
     counted = timed.select(
@@ -134,7 +138,9 @@ def running_state(events: DataFrame, time_column: str = "kafka_timestamp", water
         m.is_legal().cast("bigint").alias("l"),
         F.unix_millis("event_time").alias("at"),
         "event_time",
-    ).withWatermark("event_time", watermark)
+    )
+    if watermark is not None:
+        counted = counted.withWatermark("event_time", watermark)
     totals = counted.groupBy("match_id").transformWithStateInPandas(
         statefulProcessor=MatchTotals(idle_ms), outputStructType=RUNNING, outputMode="Append", timeMode="EventTime"
     )
@@ -145,7 +151,7 @@ def running_state(events: DataFrame, time_column: str = "kafka_timestamp", water
 def start_state_stream(raw: DataFrame, lake: str, checkpoints: str, every: str | None = live.STATS_TRIGGER, fmt: str = "parquet") -> StreamingQuery:
     """Running state of every delivery, redelivered ones once, to `silver/match_state`."""
     events = live.without_redelivery(live.decode(raw))
-    return live.append_sink(running_state(events), f"{lake}/silver/match_state", f"{checkpoints}/match_state", every, fmt)
+    return live.append_sink(running_state(events, watermark=None), f"{lake}/silver/match_state", f"{checkpoints}/match_state", every, fmt)
 
 
 class LateEvents:
