@@ -7,10 +7,14 @@ document at an earlier place. All strings are judged on the input.
    the same bytes have the same anchor bytes, and those of one anchor occurrence start side by side, so a text
    falls into fragments, one per anchor. Fragments go to tasks by their anchor's hash; copies of a fragment in one
    batch are told apart before that, so a passage in a third of all texts sends one row per batch.
-2. Of equal fragments all but the first repeat. Only anchors with different fragments need sorting: their
-   first fragments are cut from the texts and dealt by anchor into shards.
-   An anchor at the edge of a passage in very many texts has as many kinds of fragments as texts. Beyond HOT_KINDS
-   its strings are dealt one by one, by their own hash; those that a batch holds twice are settled there.
+2. Of equal fragments all but the first repeat. Only anchors with different fragments need sorting. Of a string's
+   LENGTH - GRAM bytes beside its anchor SIDE lie before or behind it. So the first fragments fall in two, starts with
+   SIDE bytes before the anchor and other starts, and a part needs sorting only with parts that have the same SIDE
+   bytes there. Parts that are alone with theirs hold no repeating string; the others are cut from the texts and dealt
+   by anchor and side into shards. Chance agreement of GRAM bytes alone, which grows with the corpus, sends nothing.
+   A side at the edge of a passage in very many texts has as many kinds of fragments as texts. Beyond HOT_KINDS
+   its strings are dealt one by one, by their own hash; those that a batch holds twice are settled there, and one
+   that is alone under its hash does not repeat.
 3. Each shard is suffix-sorted (`InducedSorter`). Suffixes with a common prefix of LENGTH bytes lie side by side;
    in each such run all but the earliest repeat.
 4. The repeating starts of a document are merged into spans and removed in one join.
@@ -36,11 +40,12 @@ from pyspark.sql import functions as F
 from matchlake.llm.common import numbered, staged
 
 LENGTH, GRAM = 100, 20
+SIDE = (LENGTH - GRAM) // 2
 BASE, MASK = 0x9E3779B97F4A7C15, (1 << 64) - 1
 # Bytes of a text whose anchors are found at a time; places take 24 bits of an anchor's key.
 PIECE = 1 << 23
 SHARD_BYTES = 4 << 20
-# Kinds of fragments of an anchor beyond which its strings are dealt one by one.
+# Kinds of fragments of an anchor's side beyond which its strings are dealt one by one.
 HOT_KINDS = 2500
 REPEAT, OPEN, HOT = 0, 1, 2
 # Bytes of waiting suffix tuples that a queue keeps in memory.
@@ -51,8 +56,18 @@ FAR = np.int32(1 << 20)
 # --- fragments ---
 
 
-def anchors(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(first start, number of starts, anchor place, anchor hash) of the fragments of one piece."""
+def mixed(x: np.ndarray) -> np.ndarray:
+    """Scrambles 64-bit numbers in place."""
+    x ^= x >> np.uint64(29)
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(32)
+    return x
+
+
+def anchors(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(first start, number of starts, anchor place, anchor hash, sides) of the fragments of one piece. sides: the
+    bytes that the first start has before the anchor, a hash of the SIDE bytes before it, and one of those behind it,
+    in 8, 28 and 28 bits."""
     n = len(data)
     h = np.frombuffer(data, np.uint8).astype(np.uint64) + np.uint64(1)
     power, four = BASE, None
@@ -60,10 +75,8 @@ def anchors(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray
         h = h[:-width] * np.uint64(power) + h[width:]
         power = power * power & MASK
         four = h if width == 2 else four
-    h = h[:-4] * np.uint64(pow(BASE, 4, 1 << 64)) + four[16:]
-    h ^= h >> np.uint64(29)
-    h *= np.uint64(0xBF58476D1CE4E5B9)
-    h ^= h >> np.uint64(32)
+    fourth = np.uint64(pow(BASE, 4, 1 << 64))
+    h = mixed(h[:-4] * fourth + four[16:])
     key = (h & np.uint64(MASK << 24 & MASK)) | np.arange(len(h), dtype=np.uint64)
     # Smallest key of each run of LENGTH - GRAM + 1 = 81 windows, from runs of 64; the leftmost of equals.
     low = key
@@ -73,26 +86,36 @@ def anchors(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray
     at = (low & np.uint64((1 << 24) - 1)).astype(np.int64)
     first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
     count = np.diff(np.append(first, len(at)))
-    return first, count, at[first], h[at[first]]
-
-
-def fragments(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(start, number of starts, anchor hash, fragment hash). Pieces of a long text share no start."""
+    place = at[first]
+    sides = (place - first).astype(np.uint64)
+    for begin in (place - SIDE, place + GRAM):
+        # Where a side leaves the piece no start uses it.
+        begin = np.clip(begin, 0, n - SIDE)
+        side = four[begin]
+        for k in range(4, SIDE, 4):
+            side *= fourth
+            side += four[begin + k]
+        sides = sides << np.uint64(28) | mixed(side) >> np.uint64(36)
+    return first, count, place, h[place], sides
+
+
+def fragments(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(start, number of starts, anchor hash, fragment hash, sides). Pieces of a long text share no start."""
     parts = []
     for at in range(0, max(0, len(data) - LENGTH + 1), PIECE):
         piece = data[at : at + PIECE + LENGTH - 1]
-        first, count, place, anchor = anchors(piece)
+        first, count, place, anchor, sides = anchors(piece)
         digest = xxhash.xxh3_64_intdigest
         ends, offsets = (first + count + LENGTH - 1).tolist(), (place - first).tolist()
         marks = [digest(piece[s:e], seed=o) for s, e, o in zip(first.tolist(), ends, offsets, strict=True)]
-        parts.append((first + at, count, anchor, np.array(marks, np.uint64)))
+        parts.append((first + at, count, anchor, np.array(marks, np.uint64), sides))
     if not parts:
         none = np.empty(0, np.int64)
-        return none, none, none.astype(np.uint64), none.astype(np.uint64)
+        return none, none, *[none.astype(np.uint64)] * 3
     return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
 
 
-FRAGMENT = pa.schema([(c, pa.int64()) for c in ("anchor", "mark", "doc", "start", "count")])
+FRAGMENT = pa.schema([(c, pa.int64()) for c in ("anchor", "mark", "doc", "start", "count", "sides")])
 
 
 def _batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
@@ -108,11 +131,12 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if k < batch.num_rows:
                 text = batch.column("text")[k].as_py()
                 data = (text or "").encode()
-                start, count, anchor, mark = fragments(data)
-                parts.append((anchor.view(np.int64), mark.view(np.int64), np.full(len(start), docs[k]), start, count))
+                start, count, *hashes = fragments(data)
+                anchor, mark, sides = (x.view(np.int64) for x in hashes)
+                parts.append((anchor, mark, np.full(len(start), docs[k]), start, count, sides))
                 size += len(data)
             if parts and (size > (32 << 20) or k == batch.num_rows):
-                anchor, mark, doc, start, count = (np.concatenate(x) for x in zip(*parts, strict=True))
+                anchor, mark, doc, start, count, sides = (np.concatenate(x) for x in zip(*parts, strict=True))
                 order = np.lexsort((start, doc, mark, anchor))
                 a, m = anchor[order], mark[order]
                 same = np.concatenate([[False], (a[1:] == a[:-1]) & (m[1:] == m[:-1])]) if len(order) else []
@@ -122,46 +146,68 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 anchor = anchor.copy()
                 anchor[copies] = (doc[copies] * 0x9E3779B1 + start[copies]) * 0x85EBCA77
                 if len(anchor):
-                    yield _batch(FRAGMENT, anchor, mark, doc, start, count)
+                    yield _batch(FRAGMENT, anchor, mark, doc, start, count, sides)
                 parts, size = [], 0
 
 
 JUDGED = pa.schema([("anchor", pa.int64()), ("doc", pa.int64()), ("start", pa.int64()), ("count", pa.int64()), ("state", pa.int32())])
 
 
+def _parts(anchor: np.ndarray, start: np.ndarray, count: np.ndarray, sides: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(fragment, key, start, count) of the parts of fragments; strings of different fragments are equal only under
+    the same key."""
+    left = np.clip((sides >> np.uint64(56)).astype(np.int64) - SIDE + 1, 0, count)
+    low = np.uint64((1 << 28) - 1)
+    # A side's hash stands in the upper bits, which of the two it is in the lowest.
+    keys = [(sides >> np.uint64(28) & low) << np.uint64(36), (sides & low) << np.uint64(36) | np.uint64(1)]
+    of = np.tile(np.arange(len(anchor)), 2)
+    key = mixed(np.concatenate(keys) + anchor.view(np.uint64)[of]).view(np.int64)
+    begin, size = np.concatenate([start, start + left]), np.concatenate([left, count - left])
+    there = np.flatnonzero(size)
+    return of[there], key[there], begin[there], size[there]
+
+
 def _judge(batches: Iterator[pa.RecordBatch], hot_kinds: int) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (anchor, mark, doc, start). Gives repeating fragments, and as OPEN or HOT the first of each
-    kind of anchors that have several kinds."""
+    """Rows sorted by (anchor, mark, doc, start). Gives repeating fragments, and as OPEN or HOT, under a key of their
+    own, the parts of the first of each kind that agree with another kind of the anchor in a side."""
 
     def judged(rows):
-        a, m, doc, start, count = rows
+        a, m, doc, start, count, sides = rows
         copy = count < 0
         if copy.any():
             yield _batch(JUDGED, a[copy], doc[copy], start[copy], -count[copy], np.full(copy.sum(), REPEAT))
-            a, m, doc, start, count = (x[~copy] for x in rows)
+            a, m, doc, start, count, sides = (x[~copy] for x in rows)
         if not len(a):
             return
         new_a = np.concatenate([[True], a[1:] != a[:-1]])
         new_kind = new_a | np.concatenate([[True], m[1:] != m[:-1]])
+        again = ~new_kind
+        yield _batch(JUDGED, a[again], doc[again], start[again], count[again], np.full(again.sum(), REPEAT))
         group = np.cumsum(new_a) - 1
-        kinds = np.bincount(group, new_kind)[group]
-        kept = ~new_kind | (kinds > 1)
-        state = np.where(new_kind, np.where(kinds > hot_kinds, HOT, OPEN), REPEAT)
-        yield _batch(JUDGED, a[kept], doc[kept], start[kept], count[kept], state[kept])
-
-    held = None
+        several = np.flatnonzero(new_kind & (np.bincount(group, new_kind)[group] > 1))
+        of, key, start, count = _parts(a[several], start[several], count[several], sides[several].view(np.uint64))
+        _, place, kinds = np.unique(key, return_inverse=True, return_counts=True)
+        kinds = kinds[place]
+        kept = np.flatnonzero(kinds > 1)
+        state = np.where(kinds[kept] > hot_kinds, HOT, OPEN)
+        yield _batch(JUDGED, key[kept], doc[several[of[kept]]], start[kept], count[kept], state)
+
+    held, last = [], None
     for batch in batches:
-        rows = [batch.column(c).to_numpy() for c in FRAGMENT.names]
-        if held is not None:
-            rows = [np.concatenate(x) for x in zip(held, rows, strict=True)]
-        if not len(rows[0]):
+        if not batch.num_rows:
             continue
+        rows = [batch.column(c).to_numpy() for c in FRAGMENT.names]
         cut = int(np.searchsorted(rows[0], rows[0][-1]))
-        held = [x[cut:] for x in rows]
-        if cut:
+        # Rows of one anchor are joined once, when the next anchor comes.
+        if held and rows[0][-1] != last:
+            yield from judged([np.concatenate(x) for x in zip(*held, [x[:cut] for x in rows], strict=True)])
+            held = []
+        elif not held and cut:
             yield from judged([x[:cut] for x in rows])
-    if held is not None:
-        yield from judged(held)
+        held.append(rows if held else [x[cut:] for x in rows])
+        last = rows[0][-1]
+    if held:
+        yield from judged([np.concatenate(x) for x in zip(*held, strict=True)])
 
 
 # --- induced sorting ---
@@ -246,6 +292,35 @@ class InducedSorter:
         self.run_end = np.append(np.minimum(change, n - 2), n - 1)
         self.stars = np.flatnonzero(self.is_s[1:] & ~self.is_s[:-1]) + 1
 
+    def _named(self, ends: np.ndarray) -> tuple[int, np.ndarray]:
+        """How many different substrings there are from S* places to these ends, and the place of each among them in
+        order. Characters and their types go six to a number; none begins another, so those alike so far are all
+        longer."""
+        keys = 2 * self.text.astype(np.int64) + self.is_s
+        at, left = self.stars, ends - self.stars + 1
+        live, rank, names = np.arange(len(at)), np.zeros(len(at), np.int64), 1
+        while len(live):
+            word = np.zeros(len(live), np.int64)
+            for k in range(6):
+                word <<= 10
+                word += np.where(k < left, keys.take(at + k, mode="clip"), 0)
+            of = rank[live]
+            order = np.argsort(word)
+            if names > 1:
+                order = order[np.argsort(of[order], kind="stable")]
+            of, word = of[order], word[order]
+            head = np.append(True, of[1:] != of[:-1])
+            new = head | np.append(True, word[1:] != word[:-1])
+            # Each name makes way for the further ones of the names before it.
+            further = np.bincount(of, new & ~head, names).astype(np.int64)
+            rank += (np.cumsum(further) - further)[rank]
+            within = np.cumsum(new)
+            rank[live[order]] += within - np.maximum.accumulate(np.where(head, within, 0))
+            names += int(further.sum())
+            more = left > 6
+            live, at, left = live[more], at[more] + 6, left[more] - 6
+        return names, rank
+
     def _sorted_stars(self) -> tuple[np.ndarray, np.ndarray]:
         """S* suffixes in order, and the common prefix of each with the one before.
 
@@ -255,44 +330,37 @@ class InducedSorter:
         stars, text = self.stars, self.text
         if not len(stars):
             return stars, np.empty(0, np.int32)
-        ends = np.append(stars[1:], len(text) - 1)
-        keys = (2 * text.astype(np.uint16) + self.is_s).astype(">u2").tobytes()
-        parts = [keys[2 * s : 2 * e + 2] for s, e in zip(stars.tolist(), ends.tolist(), strict=True)]
-        names = {part: k for k, part in enumerate(sorted(set(parts)))}
-        rank = np.fromiter((names[p] for p in parts), np.int64, len(parts))
-        levels, reach = [rank], 1
+        names, rank = self._named(np.append(stars[1:], len(text) - 1))
+        levels, reach = [rank.astype(np.int32)], 1
         # A substring is two characters long at least.
-        while 2 * reach < self.depth and len(names) < len(stars):
+        while 2 * reach < self.depth and names < len(stars):
             after = np.full(len(rank), -1)
             after[:-reach] = rank[reach:]
             pair = rank * (len(stars) + 1) + after + 1
-            names, rank = np.unique(pair, return_inverse=True)
-            levels.append(rank)
+            found, rank = np.unique(pair, return_inverse=True)
+            names = len(found)
+            levels.append(rank.astype(np.int32))
             reach *= 2
-        order = np.argsort(rank, kind="stable")
+        order = np.argsort(rank)
         common = np.zeros(len(order), np.int32)
+        # The last substring is like no other, so neighbours differ before the end of the text.
         a, b = order[:-1].copy(), order[1:].copy()
-        total = np.zeros(len(a), np.int64)
-        bounds = np.append(stars, len(text) - 1)
-        alive = np.ones(len(a), bool)
+        begin, live = stars[a], np.arange(len(a))
         for k in range(len(levels) - 1, -1, -1):
-            inside = alive & (a < len(stars)) & (b < len(stars))
-            x, y = np.where(inside, a, 0), np.where(inside, b, 0)
-            same = inside & (levels[k][x] == levels[k][y])
-            ahead = np.minimum(a + (1 << k), len(stars))
-            total += np.where(same, bounds[ahead] - bounds[np.minimum(a, len(stars))], 0)
-            a = np.where(same, ahead, a)
-            b = np.where(same, np.minimum(b + (1 << k), len(stars)), b)
+            same = live[levels[k][a[live]] == levels[k][b[live]]]
+            a[same] += 1 << k
+            b[same] += 1 << k
+            # Those that agree over the depth need no closer look.
+            live = live[stars[a[live]] - begin[live] < self.depth]
         # The first substrings that differ still share some characters.
-        x, y = bounds[a], bounds[b]
-        live = np.flatnonzero(total < self.depth)
+        total = stars[a] - begin
+        at, bt = stars[a[live]], stars[b[live]]
         while len(live):
-            i, j = x[live] , y[live]
-            live = live[(i < len(text) - 1) & (j < len(text) - 1) & (text[np.minimum(i, len(text) - 1)] == text[np.minimum(j, len(text) - 1)])]
+            on = np.flatnonzero(text[at] == text[bt])
+            live, at, bt = live[on], at[on] + 1, bt[on] + 1
             total[live] += 1
-            x[live] += 1
-            y[live] += 1
-            live = live[total[live] < self.depth]
+            on = total[live] < self.depth
+            live, at, bt = live[on], at[on], bt[on]
         common[1:] = np.minimum(total, FAR)
         return stars[order], common
 
@@ -305,9 +373,10 @@ class InducedSorter:
             np.minimum(pending, least, out=pending)
             return
         at = np.flatnonzero(fits)
-        to = self.text[before[at]].astype(np.int64)
+        # Small whole numbers are brought into order quickly.
+        to = self.text[before[at]].astype(np.uint16)
         order = np.argsort(to, kind="stable")
-        at, to = at[order], to[order]
+        at, to = at[order], to[order].astype(np.int64)
         first = np.concatenate([[True], to[1:] != to[:-1]])
         low = np.concatenate([[0], at[:-1] + 1])
         low[first] = 0
@@ -428,7 +497,7 @@ def _sorter(shard_bytes: int, budget: int):
         return _batch(SPAN, [rows[k][1] for k, _, _ in found], [rows[k][2] + s for k, s, _ in found], [n for *_, n in found])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, size, last = [], 0, None
+        shard, size, same = [], 0, []
         for batch in batches:
             known = [k for k, data in enumerate(batch.column("data").is_null().to_pylist()) if data]
             if known:
@@ -437,12 +506,17 @@ def _sorter(shard_bytes: int, budget: int):
             for row in zip(*(batch.column(c).to_pylist() for c in ("anchor", "doc", "start", "count", "data")), strict=True):
                 if row[4] is None:
                     continue
-                if row[0] != last and size > shard_bytes:
-                    yield spans(shard)
-                    shard, size = [], 0
-                last = row[0]
-                shard.append(row)
-                size += len(row[4])
+                if same and row[0] != same[0][0]:
+                    # The strings of one fragment differ, so a row alone under its key repeats nothing.
+                    if len(same) > 1:
+                        shard += same
+                        size += sum(len(r[4]) for r in same)
+                    same = []
+                    if size > shard_bytes:
+                        yield spans(shard)
+                        shard, size = [], 0
+                same.append(row)
+        shard += same if len(same) > 1 else []
         if shard:
             yield spans(shard)
 
@@ -510,7 +584,7 @@ def repeating_starts(
 ) -> DataFrame:
     """(doc, start, count): runs of starts whose string starts earlier. texts: (doc, text)."""
     parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cut = texts.select("doc", "text").mapInArrow(_cut, "anchor bigint, mark bigint, doc bigint, start bigint, count bigint")
+    cut = texts.select("doc", "text").mapInArrow(_cut, "anchor bigint, mark bigint, doc bigint, start bigint, count bigint, sides bigint")
     sorted_rows = cut.repartition(parts, "anchor").sortWithinPartitions("anchor", "mark", "doc", "start")
     judged = staged(
         sorted_rows.mapInArrow(
